@@ -19,7 +19,7 @@ SELECT 'asset-' || CAST(c.c_custkey AS STRING) AS assetId,
             THEN 'CUSTOMER-' || lpad(CAST(c.c_custkey AS STRING), 9, '0') || '.' || n.n_name || '.EXAMPLE.'
             ELSE 'customer-' || lpad(CAST(c.c_custkey AS STRING), 9, '0') || '.' || lower(n.n_name) || '.example'
        END AS hostname,
-       round(c.c_acctbal / 10, 2) AS assetHyScoreV2,
+       c.c_acctbal AS assetHyScoreV2,
        CASE WHEN c.c_custkey % 7 <> 0
             THEN '10.' || CAST(CAST(floor(c.c_custkey / 65536) AS BIGINT) % 256 AS STRING)
                  || '.' || CAST(CAST(floor(c.c_custkey / 256) AS BIGINT) % 256 AS STRING)
