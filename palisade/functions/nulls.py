@@ -15,7 +15,7 @@ INTEGER = r"^\s*[+-]?\d+\s*$"
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(text != "", text)
+    return F.nullif(text, F.lit(""))
 
 
 def first_present(*texts: Column) -> Column:

@@ -3,7 +3,7 @@
 Two walks are offered. ``leaves`` stays in the JVM: each pass of VARIANT explode opens one more level while
 finished leaves pass through, so one scan without a shuffle reaches every leaf. VARIANT keeps object keys
 sorted, so where the order in which a document was written decides the result (first text, last duplicate)
-``with_nodes`` reads the text once per document in Arrow batches and keeps the written order.
+``with_walk`` reads the text once per document in Arrow batches and keeps the written order.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 import hashlib
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 
 from palisade import fixed_values as fixed
-from palisade.functions.json_text import at, is_object, kind_of
+from palisade.functions.json_text import kind_of
 
 
 
@@ -73,104 +74,117 @@ def leaves_any_depth(df: DataFrame, doc: Column, keep: list[str], root: str = "d
     """)
 
 
-def _flatten(document, kept_keys: frozenset[str], kept_items: str) -> list[tuple]:
-    """Scalars in written order, plus the containers whose own text a rule needs."""
-    found: list[tuple] = []
-
-    def note(position, path, parent, key, kind, value):
-        found.append((position, path, parent, key, kind, value))
-
-    pending = [((), "", None, None, None, document)]
-    while pending:
-        position, path, parent, key, above, value = pending.pop()
-        if isinstance(value, (dict, list)):
-            if key in kept_keys or (key is None and above == kept_items):
-                kind = "object" if isinstance(value, dict) else "array"
-                text = json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
-                note(position, path, parent, key, kind, text)
-            inner = list(value.items()) if isinstance(value, dict) else list(enumerate(value))
-            for place in range(len(inner) - 1, -1, -1):
-                name, child = inner[place]
-                if isinstance(value, dict):
-                    pending.append((position + (place,), f"{path}.{name}" if path else name, path, name, None, child))
-                else:
-                    pending.append((position + (place,), f"{path}[{name}]", path, None, key, child))
-        elif value is not None:
-            kind = "string" if isinstance(value, str) else "boolean" if isinstance(value, bool) else "number"
-            note(position, path, parent, key, kind, str(value))
-    return found
-
-
-KEPT_KEYS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names) | {"vulnerableSoftwares"}
-
-
-@F.pandas_udf(
-    "hash string, nodes array<struct<at:array<int>,path:string,parent:string,key:string,kind:string,value:string>>"
-)
-def _nodes_of(texts: pd.Series) -> pd.DataFrame:
-    hashes, nodes = [], []
-    for text in texts:
-        try:
-            document = json.loads(text)
-        except (TypeError, ValueError):
-            hashes.append(None)
-            nodes.append(None)
-            continue
-        body = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
-        hashes.append(hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest())
-        nodes.append([
-            dict(zip(("at", "path", "parent", "key", "kind", "value"), (list(row[0]), *row[1:])))
-            for row in _flatten(document, KEPT_KEYS, "activeFindingProviderInfos")
-        ])
-    return pd.DataFrame({"hash": hashes, "nodes": nodes})
-
-
-def with_nodes(df: DataFrame, text: str = "body") -> DataFrame:
-    """Adds ``sourceHash`` and ``nodes`` (in written order) to documents held as JSON text."""
-    return df.withColumn("_walked", _nodes_of(F.col(text))).select(
-        "*", F.col("_walked.hash").alias("sourceHash"), F.col("_walked.nodes").alias("nodes")
-    ).drop("_walked")
+def _steps(value, path: str = ""):
+    """Every value below ``value`` with its path and key, in written order."""
+    if isinstance(value, dict):
+        inner = [(f"{path}.{name}", name, child) for name, child in value.items()]
+    elif isinstance(value, list):
+        inner = [(f"{path}[{place}]", None, child) for place, child in enumerate(value)]
+    else:
+        return
+    for step, name, child in inner:
+        yield step, name, child
+        yield from _steps(child, step)
+
+
+def _texts(value):
+    """Trimmed texts; an object's own text before those of its other fields."""
+    if isinstance(value, dict):
+        own = value.get("text")
+        if isinstance(own, str) and own.strip():
+            yield own.strip()
+        value = [child for name, child in value.items() if name != "text"]
+    if isinstance(value, list):
+        for child in value:
+            yield from _texts(child)
+
+
+def _plain(value) -> str:
+    return _canonical(value) if isinstance(value, (dict, list)) else str(value)
+
+
+def _canonical(value) -> str:
+    return json.dumps(value, ensure_ascii=False, separators=(",", ":"), sort_keys=True)
+
+
+def _entry(index: int, info: dict) -> dict:
+    """What one scanner entry says, still unjudged: its texts, native ids and objects with known fields."""
+    shared = info.get("sharedDetailsLocal")
+    notes = shared.get("i18n") if isinstance(shared, dict) else None
+    attributes = _steps(info.get("extendedAttributesList"), "extendedAttributesList")
+    sources = []
+    for block in fixed.COMPONENT_KEYS:
+        for path, _, value in [("", None, info.get(block)), *_steps(info.get(block))]:
+            if isinstance(value, dict):
+                known = [(name, _plain(value[name])) for name in value if name in SPELLINGS and value[name] not in (None, "")]
+                if known:
+                    sources.append({"path": block + path, "fields": known, "text": None})
+    written = [text for _, name, text in _steps(notes) if name == "text" and isinstance(text, str)]
+    sources += [{"path": f"i18n[{i}]", "fields": None, "text": text} for i, text in enumerate(written)]
+    return {
+        "index": index,
+        "provider": None if info.get("providerId") is None else str(info["providerId"]),
+        "texts": list(dict.fromkeys(_texts(notes))),
+        "ids": [
+            {"key": name, "value": str(value), "path": path} for path, name, value in attributes
+            if name and value not in (None, "") and not isinstance(value, (dict, list))
+            and name.lower().replace("-", "").replace("_", "") in fixed.REFERENCE_KINDS
+        ],
+        "sources": sources,
+        "raw": _canonical(info),
+    }
+
+
+SPELLINGS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names)
+_TEXT, _TEXTS = pa.string(), pa.list_(pa.string())
+WALKED = pa.struct([
+    ("hash", _TEXT),
+    ("texts", _TEXTS),
+    ("entries", pa.list_(pa.struct([
+        ("index", pa.int32()), ("provider", _TEXT), ("texts", _TEXTS),
+        ("ids", pa.list_(pa.struct([("key", _TEXT), ("value", _TEXT), ("path", _TEXT)]))),
+        ("sources", pa.list_(pa.struct([("path", _TEXT), ("fields", pa.map_(_TEXT, _TEXT)), ("text", _TEXT)]))),
+        ("raw", _TEXT),
+    ]))),
+])
+
+
+def _walk(text: str | None) -> dict | None:
+    try:
+        document = json.loads(text)
+    except (TypeError, ValueError):
+        return None
+    data = document.get("data") if isinstance(document, dict) else None
+    data = data if isinstance(data, dict) else {}
+    related, shared = data.get("assessmentsRelated"), data.get("sharedDetailsLocal")
+    infos = related.get("activeFindingProviderInfos") if isinstance(related, dict) else None
+    body = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
+    return {
+        "hash": hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(),
+        "texts": list(dict.fromkeys(_texts(shared.get("i18n") if isinstance(shared, dict) else None))),
+        "entries": [
+            _entry(i, info) for i, info in enumerate(infos if isinstance(infos, list) else []) if isinstance(info, dict)
+        ],
+    }
+
+
+def with_walk(df: DataFrame, text: str = "body") -> DataFrame:
+    """Adds ``walked``: the parts of a detail document whose written order matters."""
+    @F.arrow_udf(from_arrow_type(WALKED))
+    def walk(texts: pa.Array) -> pa.Array:
+        return pa.array([_walk(text) for text in texts.to_pylist()], type=WALKED)
+
+    return df.withColumn("walked", walk(F.col(text)))
 
 
 def envelopes(df: DataFrame, text: str = "body") -> DataFrame:
     """Adds the parsed envelope and ``valid``: it parses, ``data`` is an object and ``findingId`` is truthy."""
     doc = F.try_parse_json(text)
-    parsed = df.withColumn("doc", doc)
-    finding = at(F.col("doc"), "findingId")
-    truthy = finding.isNotNull() & ~finding.isin("", "0", "false", "[]", "{}")
-    data = F.try_variant_get("doc", "$.data", "variant")
-    return parsed.withColumn("valid", F.coalesce(is_object(data) & truthy, F.lit(False)))
-
-
-def under(nodes: Column, prefix: Column | str) -> Column:
-    """Nodes at or below a path."""
-    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
-    return F.filter(
-        nodes,
-        lambda n: (n["path"] == prefix) | n["path"].startswith(F.concat(prefix, F.lit(".")))
-        | n["path"].startswith(F.concat(prefix, F.lit("["))),
+    head = F.try_variant_get(doc, "$", "struct<findingId:string,data:map<string,variant>>")
+    # One mention of the parsed text: a filter on ``valid`` is pushed down with its whole expression.
+    valid = F.exists(
+        F.array(head),
+        lambda h: h["data"].isNotNull() & h["findingId"].isNotNull()
+        & ~h["findingId"].isin("", "0", "false", "[]", "{}"),
     )
-
-
-def written_texts(nodes: Column) -> Column:
-    """All string values under a key ``text``, in written order, untrimmed."""
-    return F.transform(
-        F.filter(nodes, lambda n: (n["key"] == "text") & (n["kind"] == "string")), lambda n: n["value"]
-    )
-
-
-def text_nodes(nodes: Column) -> Column:
-    """Trimmed distinct texts; an object's own text comes before its children, and nothing below a ``text`` container."""
-    own = F.filter(
-        nodes,
-        lambda n: (n["key"] == "text") & (n["kind"] == "string") & (F.trim(n["value"]) != "")
-        & ~n["parent"].rlike(r"(^|\.)text(\.|\[|$)"),
-    )
-    ranked = F.array_sort(F.transform(
-        own,
-        lambda n: F.struct(
-            F.concat(F.slice(n["at"], F.lit(1), F.size(n["at"]) - 1), F.array(F.lit(-1))).alias("at"),
-            F.trim(n["value"]).alias("text"),
-        ),
-    ))
-    return F.array_distinct(F.transform(ranked, lambda r: r["text"]))
+    return df.withColumn("doc", doc).withColumn("valid", F.coalesce(valid, F.lit(False)))

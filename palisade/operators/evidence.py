@@ -1,21 +1,22 @@
 """Technical evidence of a detail document: components, occurrences, native scanner ids and audit events.
 
-Everything about one document is worked out inside its row with array functions, so these tables need no shuffle.
+Rows of one document are brought together once, by document, and everything that depends on the whole document
+(how many candidates an entry has, which duplicate is last) is a window on that partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade import fixed_values as fixed
 from palisade.functions import evidence_text
 from palisade.functions.dates import iso_utc, parse_timestamp
-from palisade.functions.json_text import at, first_at
-from palisade.functions.nulls import blank_to_null, first_present
+from palisade.functions.json_text import at, first_at, is_object
+from palisade.functions.nulls import blank_to_null
 from palisade.functions.text import event_type, normalize_scanner, short_digest
-from palisade.operators.details import INFOS, with_providers
-from palisade.operators.documents import under, written_texts
+from palisade.operators.details import INFOS
+from palisade.operators.skew import first_per_key
 
 FIELDS = list(fixed.FIELD_SPELLINGS)
 
@@ -48,226 +49,199 @@ def reference_kind(key: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.regexp_replace(F.lower(key), "[-_]", ""))
 
 
-def _reference_nodes(nodes: Column) -> Column:
-    return F.filter(
-        nodes,
-        lambda n: reference_kind(n["key"]).isNotNull() & n["kind"].isin("string", "number", "boolean")
-        & (n["value"] != ""),
-    )
+def _spelled(fields: Column, spellings: tuple[str, ...]) -> Column:
+    """The first spelling that the object has; the walk leaves out empty values."""
+    if len(spellings) == 1:
+        return F.try_element_at(fields, F.lit(spellings[0]))
+    values = F.transform(F.array(*[F.lit(s) for s in spellings]), lambda name: F.try_element_at(fields, name))
+    return F.try_element_at(F.array_compact(values), F.lit(1))
 
 
-def _references(nodes: Column) -> Column:
+def _references(ids: Column) -> Column:
     """Distinct (type, value) pairs, sorted."""
-    pairs = F.transform(_reference_nodes(nodes), lambda n: F.struct(
-        reference_kind(n["key"]).alias("type"), n["value"].alias("value")))
+    pairs = F.transform(ids, lambda n: F.struct(reference_kind(n["key"]).alias("type"), n["value"].alias("value")))
     return F.array_sort(F.array_distinct(pairs))
 
 
-def _objects(nodes: Column, below: Column) -> Column:
-    """The objects at or below a path, outer before inner, each as its path and its own fields."""
-    own = F.filter(under(nodes, below), lambda n: n["key"].isNotNull() & ((n["parent"] == below) | _inside(n["parent"], below)))
-    places = F.array_sort(F.array_distinct(F.transform(
-        own, lambda n: F.struct(F.slice(n["at"], F.lit(1), F.size(n["at"]) - 1).alias("at"), n["parent"].alias("path")))))
-    return F.transform(places, lambda place: F.struct(
-        place["path"].alias("path"),
-        F.map_from_entries(F.transform(
-            F.filter(own, lambda n: n["parent"] == place["path"]), lambda n: F.struct(n["key"], n["value"])
-        )).alias("fields"),
-    ))
-
-
-def _inside(path: Column, below: Column) -> Column:
-    return path.startswith(F.concat(below, F.lit("."))) | path.startswith(F.concat(below, F.lit("[")))
-
-
-def _field(fields: Column, name: str) -> Column:
-    return first_present(*[F.try_element_at(fields, F.lit(s)) for s in fixed.FIELD_SPELLINGS[name]])
-
-
-def _structured(nodes: Column, index: Column, provider: Column) -> Column:
-    """Candidates read from the component blocks of one scanner entry, block by block."""
-    blocks = []
-    entry = F.concat(F.lit(f"{INFOS}["), index.cast("string"), F.lit("]."))
-    for block in fixed.COMPONENT_KEYS:
-        root = F.concat(entry, F.lit(block))
-        blocks.append(F.transform(_objects(nodes, root), lambda o, root=root, block=block: F.struct(
-            *[_field(o["fields"], name).alias(name) for name in FIELDS],
-            F.concat(F.lit("activeProviderInfos."), F.coalesce(provider, F.lit("None")), F.lit(f".{block}"),
-                     F.substring(o["path"], F.length(root) + 1, F.length(o["path"]))).alias("source_path"),
-        )))
-    return F.filter(
-        F.concat(*blocks),
-        lambda x: F.coalesce(x["package"], x["component"], x["product"]).isNotNull(),
+def scanner_entries(docs: DataFrame, source: str = "source") -> DataFrame:
+    """One row per scanner entry of a document, with its native ids, texts, objects and vulnerable paths."""
+    doc = F.col("doc")
+    opened = docs.select(
+        source, "doc", F.explode("walked.entries").alias("e"), F.col("walked.hash").alias("sourceHash"),
+    ).withColumn("info", F.try_element_at(at(doc, INFOS, "array<variant>"), F.col("e.index") + 1))
+    return opened.select(
+        source, *_owner(), "sourceHash", parse_timestamp(at(doc, "extractedAt")).alias("retrievedAt"),
+        F.col("e.index").alias("entry"), F.col("e.provider").alias("providerId"),
+        normalize_scanner(F.col("e.provider")).alias("scanner"), at(F.col("info"), "assessmentId").alias("assessmentId"),
+        F.col("e.ids").alias("ids"), _references(F.col("e.ids")).alias("references"), F.col("e.sources").alias("sources"),
+        F.filter(F.coalesce(F.try_variant_get("info", "$.vulnerableFilePaths", "array<string>"),
+                            F.array().cast("array<string>")), lambda path: path != "").alias("paths"),
     )
 
 
-def _labelled(texts: Column, provider: Column) -> Column:
-    """Candidates read from labelled scanner text."""
-    nothing = F.lit(None).cast("string")
+def _owner() -> list[Column]:
+    doc = F.col("doc")
+    return [
+        F.coalesce(first_at(doc, "findingId", "data.findingId", "data.id"), F.lit("")).alias("findingId"),
+        F.coalesce(first_at(doc, "assetId", "data.assetId"), F.lit("")).alias("assetId"),
+        first_at(doc, "data.searchFinding.assetEffectiveName", "data.searchFinding.assetAbsoluteName").alias("hostname"),
+    ]
 
-    def candidate(text: Column, i: Column) -> Column:
-        found = evidence_text.labelled_component(text)
-        values = {
-            "package": found["package"], "component": found["package"], "vendor": nothing, "product": nothing,
-            "ecosystem": found["language"], "language": found["language"],
-            "installed_version": found["installed_version"], "required_version": found["required_version"],
-            "install_path": found["install_path"],
-        }
-        return F.when(found.isNotNull(), F.struct(
-            *[values[name].alias(name) for name in FIELDS],
-            F.concat(F.lit("activeProviderInfos."), F.coalesce(provider, F.lit("None")), F.lit(".i18n["),
-                     i.cast("string"), F.lit("]")).alias("source_path"),
-        ))
-
-    return F.array_compact(F.transform(texts, candidate))
-
-
-def _last_wins(rows: Column, same) -> Column:
-    """Drop every element that a later one repeats."""
-    rest = F.greatest(F.size(rows), F.lit(1))
-    return F.filter(rows, lambda x, i: ~F.exists(F.slice(rows, i + 2, rest), lambda later: same(later, x)))
-
-
-def with_evidence(docs: DataFrame) -> DataFrame:
-    """Adds per document: ``scanners`` (one entry per scanner), ``components``, ``occurrences`` and ``events``."""
-    doc, nodes = F.col("doc"), F.col("nodes")
-    d = with_providers(docs).withColumns({
-        "findingId": F.coalesce(first_at(doc, "findingId", "data.findingId", "data.id"), F.lit("")),
-        "assetId": F.coalesce(first_at(doc, "assetId", "data.assetId"), F.lit("")),
-        "hostname": first_at(doc, "data.searchFinding.assetEffectiveName", "data.searchFinding.assetAbsoluteName"),
-        "retrievedAt": parse_timestamp(at(doc, "extractedAt")),
-    })
 
-    def scanner_entry(p: Column) -> Column:
-        entry = F.concat(F.lit(f"{INFOS}["), p["index"].cast("string"), F.lit("]"))
-        provider = F.try_variant_get(p["info"], "$.providerId", "string")
-        return F.struct(
-            p["index"].alias("index"),
-            provider.alias("providerId"),
-            normalize_scanner(provider).alias("scanner"),
-            F.try_variant_get(p["info"], "$.assessmentId", "string").alias("assessmentId"),
-            _references(under(nodes, F.concat(entry, F.lit(".extendedAttributesList")))).alias("references"),
-            F.concat(
-                _structured(nodes, p["index"], provider),
-                _labelled(written_texts(under(nodes, F.concat(entry, F.lit(".sharedDetailsLocal.i18n")))), provider),
-            ).alias("candidates"),
-            F.filter(F.coalesce(F.try_variant_get(p["info"], "$.vulnerableFilePaths", "array<string>"),
-                                F.array().cast("array<string>")), lambda v: v != "").alias("paths"),
-        )
-
-    d = d.withColumn("scanners", F.transform("providers", scanner_entry))
-    found = F.flatten(F.transform("scanners", lambda s: F.transform(s["candidates"], lambda x: F.struct(
-        component_id(F.col("assetId"), F.coalesce(x["package"], x["component"], x["product"]), x["installed_version"])
-        .alias("componentId"),
-        s["scanner"].alias("scanner"), s["references"].alias("references"),
-        *[x[name].alias(name) for name in FIELDS], x["source_path"].alias("source_path"),
-        F.when(x["install_path"].isNotNull(), F.array(x["install_path"]))
-        .when(F.size(s["candidates"]) == 1, s["paths"])
-        .otherwise(F.array().cast("array<string>")).alias("paths"),
-    ))))
-    d = d.withColumn("_found", found)
-    nothing = F.lit(None).cast("string")
-    assigned = F.flatten(F.transform("_found", lambda x: F.transform(x["paths"], lambda path: F.struct(
-        occurrence_id(x["componentId"], path).alias("occurrenceId"), x["componentId"].alias("componentId"),
-        x["scanner"].alias("scanner"), x["references"].alias("references"), x["package"].alias("package"),
-        x["installed_version"].alias("installed_version"), x["required_version"].alias("required_version"),
-        path.alias("install_path")))))
-    loose = F.flatten(F.transform(
-        F.filter("scanners", lambda s: F.size(s["candidates"]) != 1),
-        lambda s: F.transform(s["paths"], lambda path: F.struct(
-            unassigned_occurrence_id(F.col("assetId"), F.col("findingId"), path).alias("occurrenceId"),
-            nothing.alias("componentId"), s["scanner"].alias("scanner"), s["references"].alias("references"),
-            nothing.alias("package"), nothing.alias("installed_version"), nothing.alias("required_version"),
-            path.alias("install_path")))))
-    atoms = F.coalesce(
-        at(doc, "data.assessmentsRelated.findingAuditHistory.info.atomInfos", "array<variant>"),
-        F.array().cast("array<variant>"))
-
-    def event(a: Column) -> Column:
-        def of(path: str) -> Column:
-            return F.try_variant_get(a, f"$.{path}", "string")
-
-        moment = parse_timestamp(of("at"))
-        status = of("declaredFindingStatus.subState")
-        return F.struct(
-            moment.alias("eventTimestamp"),
-            event_id(of("auditId"), F.col("findingId"), moment, of("trigger")).alias("eventId"),
-            event_type(of("trigger"), status).alias("eventType"), of("trigger").alias("eventLabel"),
-            of("assessmentType").alias("eventSource"), nothing.alias("previousStatus"), status.alias("newStatus"),
-            of("userId").alias("actor"), normalize_scanner(of("providerId")).alias("scanner"))
+def candidates(entries: DataFrame, source: str = "source") -> DataFrame:
+    """One row per object or labelled text of an entry, with the nine resolved fields.
 
+    ``isCandidate`` tells which of them describe a component and ``candidatesInEntry`` how many there are; an entry
+    without any source keeps one row so that its paths are not lost.
+    """
+    opened = entries.select(
+        *[name for name in entries.columns if name not in ("sources", "ids")],
+        F.posexplode_outer("sources").alias("place", "s"),
+    )
+    fields, found = F.col("s.fields"), evidence_text.labelled_component(F.col("s.text"))
+    nothing = F.lit(None).cast("string")
+    labelled = {
+        "package": found["package"], "component": found["package"], "vendor": nothing, "product": nothing,
+        "ecosystem": found["language"], "language": found["language"],
+        "installed_version": found["installed_version"], "required_version": found["required_version"],
+        "install_path": found["install_path"],
+    }
+    from_text = F.col("s.text").isNotNull()
+    resolved = opened.withColumns({
+        name: F.when(from_text, labelled[name]).otherwise(_spelled(fields, spellings))
+        for name, spellings in fixed.FIELD_SPELLINGS.items()
+    })
+    identity = F.coalesce("package", "component", "product")
+    is_candidate = F.when(from_text, F.coalesce(*FIELDS).isNotNull()).otherwise(identity.isNotNull())
+    per_entry = Window.partitionBy(source, "entry")
     return (
-        d.withColumn("components", _last_wins(F.col("_found"), lambda a, b: (
-            a["componentId"] == b["componentId"]) & (a["scanner"] == b["scanner"])))
-        .withColumn("_occurrences", F.concat(assigned, loose))
-        .withColumn("occurrences", _last_wins(
-            F.col("_occurrences"), lambda a, b: a["occurrenceId"] == b["occurrenceId"]))
-        .withColumn("events", F.transform(F.filter(atoms, lambda a: F.schema_of_variant(a).startswith("OBJECT")), event))
-        .drop("_found", "_occurrences")
+        resolved.withColumn("isCandidate", F.coalesce(is_candidate, F.lit(False)))
+        # Everything about a document stays together: the windows below and the ones on single documents share this.
+        .repartition(source)
+        .withColumn("candidatesInEntry", F.count_if("isCandidate").over(per_entry))
+        .withColumn("firstOfEntry", F.row_number().over(per_entry.orderBy(F.col("place").asc_nulls_first())) == 1)
+        .withColumn("componentId", F.when(F.col("isCandidate"), component_id(
+            F.col("assetId"), identity, F.col("installed_version"))))
+        .withColumn("sourcePath", F.concat(
+            F.lit("activeProviderInfos."), F.coalesce("providerId", F.lit("None")), F.lit("."), F.col("s.path")))
+        .drop("s")
     )
 
 
-def component_rows(evidence: DataFrame, source: str = "source") -> DataFrame:
-    return evidence.select(
-        "findingId", "assetId", "hostname", F.explode("components").alias("x"), source, "sourceHash", "retrievedAt"
-    ).select(
-        "findingId", "assetId", "hostname", "x.componentId", "x.scanner", "x.package", "x.component", "x.vendor",
-        "x.product", "x.ecosystem", "x.language", F.col("x.installed_version").alias("installedVersion"),
-        F.col("x.required_version").alias("requiredVersion"), F.col("x.install_path").alias("installPath"),
-        F.to_json("x.references").alias("scannerReferencesJson"), F.col("x.source_path").alias("sourcePath"),
+def components(candidates_: DataFrame, source: str = "source") -> DataFrame:
+    """Candidates with the last one per (component, scanner) of a document kept."""
+    return first_per_key(
+        candidates_.where("isCandidate"), [source, "componentId", "scanner"],
+        [F.col("entry").desc(), F.col("place").desc()])
+
+
+def occurrences(candidates_: DataFrame, source: str = "source") -> DataFrame:
+    """Component x path rows: the own install path, else the entry's paths if it has exactly one candidate.
+
+    The paths of an entry with no or several candidates are kept without a component.
+    """
+    none = F.array().cast("array<string>")
+    own = (
+        F.when(~F.col("isCandidate"), none)
+        .when(F.col("install_path").isNotNull(), F.array("install_path"))
+        .when(F.col("candidatesInEntry") == 1, F.col("paths"))
+        .otherwise(none)
+    )
+    loose = F.when(F.col("firstOfEntry") & (F.col("candidatesInEntry") != 1), F.col("paths")).otherwise(none)
+    paired = F.concat(
+        F.transform(own, lambda path: F.struct(F.lit(False).alias("loose"), path.alias("path"))),
+        F.transform(loose, lambda path: F.struct(F.lit(True).alias("loose"), path.alias("path"))),
+    )
+    opened = candidates_.select("*", F.posexplode(paired).alias("_k", "_p"))
+
+    def assigned(name: str) -> Column:
+        return F.when(~F.col("_p.loose"), F.col(name))
+
+    rows = opened.select(
+        source, "findingId", "assetId", "hostname", "scanner", "references", "sourceHash", "retrievedAt",
+        "entry", "place", "_k", F.col("_p.path").alias("path"), F.col("_p.loose").alias("_loose"),
+        *[assigned(name).alias(name) for name in ("componentId", "package", "installed_version", "required_version")],
+    ).withColumn("occurrenceId", F.when(
+        F.col("_loose"), unassigned_occurrence_id(F.col("assetId"), F.col("findingId"), F.col("path"))
+    ).otherwise(occurrence_id(F.col("componentId"), F.col("path"))))
+    return first_per_key(
+        rows, [source, "occurrenceId"],
+        [F.col("entry").desc(), F.col("_loose").desc(), F.col("place").desc_nulls_last(), F.col("_k").desc()])
+
+
+def component_rows(candidates_: DataFrame, source: str = "source") -> DataFrame:
+    return components(candidates_, source).select(
+        "findingId", "assetId", "hostname", "componentId", "scanner", "package", "component", "vendor", "product",
+        "ecosystem", "language", F.col("installed_version").alias("installedVersion"),
+        F.col("required_version").alias("requiredVersion"), F.col("install_path").alias("installPath"),
+        F.to_json("references").alias("scannerReferencesJson"), "sourcePath",
         F.col(source).alias("sourcePayloadReference"), "sourceHash", "retrievedAt")
 
 
-def occurrence_rows(evidence: DataFrame, source: str = "source") -> DataFrame:
-    return evidence.select(
-        "findingId", "assetId", "hostname", F.explode("occurrences").alias("x"), source, "sourceHash", "retrievedAt"
-    ).select(
-        "findingId", "assetId", "hostname", "x.componentId", "x.occurrenceId", "x.scanner", "x.package",
-        F.col("x.installed_version").alias("installedVersion"), F.col("x.required_version").alias("requiredVersion"),
-        F.col("x.install_path").alias("installPath"), F.to_json("x.references").alias("scannerReferencesJson"),
+def occurrence_rows(candidates_: DataFrame, source: str = "source") -> DataFrame:
+    return occurrences(candidates_, source).select(
+        "findingId", "assetId", "hostname", "componentId", "occurrenceId", "scanner", "package",
+        F.col("installed_version").alias("installedVersion"), F.col("required_version").alias("requiredVersion"),
+        F.col("path").alias("installPath"), F.to_json("references").alias("scannerReferencesJson"),
         F.col(source).alias("sourcePayloadReference"), "sourceHash", "retrievedAt")
 
 
-def event_rows(evidence: DataFrame, source: str = "source") -> DataFrame:
-    return evidence.select(
-        "findingId", "assetId", "hostname", F.explode("events").alias("x"), source
-    ).select("findingId", "assetId", "hostname", "x.*", F.col(source).alias("rawEventReference"))
+def event_rows(docs: DataFrame, source: str = "source") -> DataFrame:
+    """One row per audit entry of a document; needs the envelope only."""
+    atoms = docs.select(source, *_owner(), F.explode(
+        at(F.col("doc"), "data.assessmentsRelated.findingAuditHistory.info.atomInfos", "array<variant>")).alias("a"))
 
+    def of(path: str) -> Column:
+        return at(F.col("a"), path)
 
-def scanner_reference_rows(docs: DataFrame) -> DataFrame:
-    """One row per native id, with the path where it was last found."""
-    doc, nodes = F.col("doc"), F.col("nodes")
-
-    def of_entry(p: Column) -> Column:
-        entry = F.concat(F.lit(f"{INFOS}["), p["index"].cast("string"), F.lit("]"))
-        below = under(nodes, F.concat(entry, F.lit(".extendedAttributesList")))
-        return F.transform(_reference_nodes(below), lambda n: F.struct(
-            F.try_variant_get(p["info"], "$.providerId", "string").alias("providerId"),
-            F.try_variant_get(p["info"], "$.assessmentId", "string").alias("assessmentId"),
-            reference_kind(n["key"]).alias("referenceType"), n["value"].alias("referenceValue"),
-            F.substring(n["path"], F.lit(len("data.assessmentsRelated.") + 1), F.length(n["path"])).alias("sourcePath")))
-
-    def same(a: Column, b: Column) -> Column:
-        return (a["providerId"].eqNullSafe(b["providerId"]) & a["assessmentId"].eqNullSafe(b["assessmentId"])
-                & (a["referenceType"] == b["referenceType"]) & (a["referenceValue"] == b["referenceValue"]))
-
-    rows = with_providers(docs).withColumn("_refs", F.flatten(F.transform("providers", of_entry)))
+    rows = atoms.where(is_object(F.col("a"))).withColumns({
+        "eventTimestamp": parse_timestamp(of("at")), "eventLabel": of("trigger"),
+        "newStatus": of("declaredFindingStatus.subState"),
+    })
     return rows.select(
-        first_at(doc, "findingId", "data.findingId", "data.id").alias("findingId"),
-        first_at(doc, "assetId", "data.assetId").alias("assetId"),
-        F.explode(_last_wins(F.col("_refs"), same)).alias("r"),
-    ).select("findingId", "assetId", "r.*")
+        "findingId", "assetId", "hostname",
+        event_id(of("auditId"), F.col("findingId"), F.col("eventTimestamp"), F.col("eventLabel")).alias("eventId"),
+        "eventTimestamp", event_type(F.col("eventLabel"), F.col("newStatus")).alias("eventType"), "eventLabel",
+        of("assessmentType").alias("eventSource"), F.lit(None).cast("string").alias("previousStatus"), "newStatus",
+        of("userId").alias("actor"), normalize_scanner(of("providerId")).alias("scanner"),
+        F.col(source).alias("rawEventReference"))
 
 
-def diagnostics(evidence: DataFrame) -> DataFrame:
+def scanner_reference_rows(entries: DataFrame, source: str = "source") -> DataFrame:
+    """One row per native id, with the path where it was last found."""
+    rows = entries.select(
+        source, blank_to_null(F.col("findingId")).alias("findingId"), blank_to_null(F.col("assetId")).alias("assetId"),
+        "providerId", "assessmentId", "entry", F.posexplode("ids").alias("place", "n"),
+    ).select(
+        "*", reference_kind(F.col("n.key")).alias("referenceType"), F.col("n.value").alias("referenceValue"),
+        F.concat(F.lit("activeFindingProviderInfos["), F.col("entry").cast("string"), F.lit("]."), "n.path").alias("sourcePath"))
+    return first_per_key(
+        rows, [source, "providerId", "assessmentId", "referenceType", "referenceValue"],
+        [F.col("entry").desc(), F.col("place").desc()],
+    ).select("findingId", "assetId", "providerId", "assessmentId", "referenceType", "referenceValue", "sourcePath")
+
+
+def diagnostics(docs: DataFrame, source: str = "source") -> DataFrame:
     """How much evidence a set of documents holds."""
-    versioned = F.filter("components", lambda x: F.coalesce(x["installed_version"], x["required_version"]).isNotNull())
-    references = F.aggregate("scanners", F.lit(0), lambda n, s: n + F.size(s["references"]))
-    measures = {
-        "findings": F.lit(1), "components": F.size("components"), "versions": F.size(versioned),
-        "paths": F.size("occurrences"), "scannerReferences": references, "historyEvents": F.size("events"),
-    }
-    return evidence.agg(*[F.sum(value).cast("bigint").alias(name) for name, value in measures.items()])
+    entries = scanner_entries(docs, source)
+    found = candidates(entries, source)
+    versioned = F.coalesce("installed_version", "required_version").isNotNull()
+
+    def measure(df: DataFrame, **values: Column) -> DataFrame:
+        return df.agg(*[value.cast("bigint").alias(name) for name, value in values.items()])
+
+    parts = [
+        measure(docs, findings=F.count(F.lit(1))),
+        measure(components(found, source), components=F.count(F.lit(1)), versions=F.count_if(versioned)),
+        measure(occurrences(found, source), paths=F.count(F.lit(1))),
+        measure(entries, scannerReferences=F.sum(F.size("references"))),
+        measure(event_rows(docs, source), historyEvents=F.count(F.lit(1))),
+    ]
+    long = None
+    for part in parts:
+        rows = part.unpivot([], part.columns, "measure", "value")
+        long = rows if long is None else long.unionByName(rows)
+    return long
 
 
 def mitre_ids(doc: Column) -> Column:
