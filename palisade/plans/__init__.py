@@ -1,6 +1,6 @@
 """Named queries over the driver tables."""
 
-from palisade.plans import documents, scalar_rules, silver_gold  # noqa: F401
+from palisade.plans import documents, intelligence, scalar_rules, silver_gold, worklists  # noqa: F401
 from palisade.plans.registry import ORACLES, PLANS
 
 __all__ = ["ORACLES", "PLANS"]

@@ -194,7 +194,8 @@ def _(spark, sf):
 
 
 @query("document_cves", _docs("""
-SELECT DISTINCT 'findings/' || findingId || '.json' AS source, unnest([firstCve, secondCve, 'CVE-1999-0001']) AS cve FROM docs"""))
+SELECT DISTINCT * FROM (SELECT 'findings/' || findingId || '.json' AS source,
+  unnest([firstCve, secondCve, 'CVE-1999-0001']) AS cve FROM docs) WHERE cve IS NOT NULL"""))
 def _(spark, sf):
     docs = documents.envelopes(bodies(spark, sf))
     strings = documents.leaves(docs, F.col("doc"), ["source"]).where("kind = 'string'")
@@ -326,7 +327,7 @@ def _loose(path: str) -> str:
 OCCURRENCES_SQL = f"""
 SELECT findingId, {_CMP_A} AS componentId, {_occ(_CMP_A, 'filePath')} AS occurrenceId, {SCANNER_SQL} AS scanner,
   component AS package, detectedVersion AS installedVersion, expectedVersion AS requiredVersion, filePath AS installPath
-FROM docs WHERE component IS NOT NULL AND filePath IS NOT NULL
+FROM docs WHERE component IS NOT NULL AND filePath IS NOT NULL AND detectedVersion IS NOT NULL
 UNION ALL SELECT findingId, {_CMP_A}, {_occ(_CMP_A, 'secondFilePath')}, {SCANNER_SQL}, component, detectedVersion, NULL, secondFilePath
 FROM docs WHERE component IS NOT NULL AND secondFilePath IS NOT NULL
 UNION ALL SELECT findingId, NULL, {_loose("'/srv/' || findingId")}, {SCANNER_SQL}, NULL, NULL, NULL, '/srv/' || findingId FROM docs
@@ -362,7 +363,8 @@ SELECT measure, CAST(value AS BIGINT) AS value FROM (
   UNION ALL SELECT 'versions', count(CASE WHEN component IS NOT NULL THEN detectedVersion END)
     + count(CASE WHEN component IS NOT NULL AND filePath IS NOT NULL THEN expectedVersion END) FROM docs
   UNION ALL SELECT 'paths', count(*) + count(CASE WHEN component IS NOT NULL THEN filePath END)
-    + count(CASE WHEN component IS NOT NULL THEN secondFilePath END) + 2 * count(filePath) FROM docs
+    + count(CASE WHEN component IS NOT NULL THEN secondFilePath END) + 2 * count(filePath)
+    - count(CASE WHEN component IS NOT NULL AND detectedVersion IS NULL THEN filePath END) FROM docs
   UNION ALL SELECT 'scannerReferences', 2 * count(*) + count(filePath) FROM docs
   UNION ALL SELECT 'historyEvents', 2 * count(*) FROM docs)"""))
 def _(spark, sf):
