@@ -48,6 +48,21 @@ def is_object(doc: Column) -> Column:
     return F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
 
 
+def is_json(text: Column) -> Column:
+    """True only when the whole text is one JSON value.
+
+    The parser stops after the first value, so the text is parsed once inside a list and once inside an object:
+    anything that follows the value breaks one of the two or makes the list longer.
+    """
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    inside = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce((F.size(listed) == 1) & inside.isNotNull(), F.lit(False))
+
+
+def strict_parse(text: Column) -> Column:
+    return F.when(is_json(text), F.try_parse_json(text))
+
+
 def items(doc: Column, path: str) -> Column:
     """The elements of an array at a dotted path as ARRAY<VARIANT>; null for anything that is not an array."""
     return F.try_variant_get(doc, "$." + path, "array<variant>")
@@ -55,7 +70,7 @@ def items(doc: Column, path: str) -> Column:
 
 def text_list(text: Column) -> Column:
     """A JSON array gives its items, other valid JSON one item, anything else the text itself, nothing an empty list."""
-    doc = F.try_parse_json(text)
+    doc = strict_parse(text)
     whole = F.try_variant_get(doc, "$", "array<string>")
     single = F.when(doc.isNotNull(), F.array(F.try_variant_get(doc, "$", "string"))).otherwise(F.array(text))
     return F.when(blank_to_null(text).isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(whole, single))

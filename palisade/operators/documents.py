@@ -10,14 +10,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from palisade import fixed_values as fixed
-from palisade.functions.json_text import kind_of
+from palisade.functions.json_text import is_json, kind_of
 
 
 
@@ -135,6 +137,7 @@ def _entry(index: int, info: dict) -> dict:
     }
 
 
+CVE_WORD = re.compile(fixed.CVE_WORD.replace("(?U)", "(?i)"))
 SPELLINGS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names)
 _TEXT, _TEXTS = pa.string(), pa.list_(pa.string())
 WALKED = pa.struct([
@@ -168,6 +171,21 @@ def _walk(text: str | None) -> dict | None:
     }
 
 
+@F.arrow_udf(T.StringType())
+def smallest_cve(texts: pa.Array) -> pa.Array:
+    """The smallest CVE id among the string values of a JSON text at any depth; keys are not searched."""
+    def smallest(text: str | None) -> str | None:
+        if text is None:
+            return None
+        found = {
+            match.upper() for _, _, value in _steps([json.loads(text)]) if isinstance(value, str)
+            for match in CVE_WORD.findall(value)
+        }
+        return min(found, default=None)
+
+    return pa.array([smallest(text) for text in texts.to_pylist()], type=pa.string())
+
+
 def with_walk(df: DataFrame, text: str = "body") -> DataFrame:
     """Adds ``walked``: the parts of a detail document whose written order matters."""
     @F.arrow_udf(from_arrow_type(WALKED))
@@ -187,4 +205,4 @@ def envelopes(df: DataFrame, text: str = "body") -> DataFrame:
         lambda h: h["data"].isNotNull() & h["findingId"].isNotNull()
         & ~h["findingId"].isin("", "0", "false", "[]", "{}"),
     )
-    return df.withColumn("doc", doc).withColumn("valid", F.coalesce(valid, F.lit(False)))
+    return df.withColumn("doc", doc).withColumn("valid", is_json(F.col(text)) & F.coalesce(valid, F.lit(False)))

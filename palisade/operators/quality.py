@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from palisade import fixed_values as fixed
 from palisade.functions.evidence_text import has_secret
+from palisade.functions.json_text import is_json
 from palisade.functions.nulls import is_filled
 
 
@@ -113,7 +114,7 @@ def content_checks(df: DataFrame, json_columns: list[str], url_column: str, text
     """Rows with invalid JSON per column, badly shaped history links, and text that may hold secrets."""
     url, measures = F.col(url_column), {}
     for name in json_columns:
-        measures[f"{name} invalid JSON"] = F.count_if(F.col(name).isNotNull() & F.try_parse_json(F.col(name)).isNull())
+        measures[f"{name} invalid JSON"] = F.count_if(F.col(name).isNotNull() & ~is_json(F.col(name)))
     measures["bad history link"] = F.count_if(url.isNotNull() & ~url.like(fixed.HISTORY_URL_LIKE))
     measures["possible secret"] = F.count_if(has_secret(F.col(text_column)))
     found = df.agg(*[value.alias(name) for name, value in measures.items()])

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when a later aggregate then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A repeated key keeps its last value, as JSON readers usually do.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
