@@ -60,17 +60,16 @@ def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str = "ordi
              window_rows: int = 100_000) -> DataFrame:
     """1-based place of each row inside its key, in ascending order.
 
-    While the largest key is within ``window_rows`` an ordinary window does it. Beyond that the rows are range
-    partitioned by (key, order), numbered inside each piece, and shifted by the sizes of the earlier pieces.
-    The piece numbers are written first so that a recomputed stage cannot change them. ``order`` must be unique
-    within a key.
+    The rows are written once, because they are read for their sizes and for the numbering. While the largest key is
+    within ``window_rows`` an ordinary window does it. Beyond that the rows are range partitioned by (key, order),
+    numbered inside each piece, and shifted by the sizes of the earlier pieces; the piece numbers are written too, so
+    that a recomputed stage cannot change them. ``order`` must be unique within a key.
     """
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    rows = written(df, "rows")
+    largest = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
     if largest <= window_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    pieces = written(
-        df.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id()), "ordinals"
-    )
+        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    pieces = written(rows.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id()), "pieces")
     sizes = pieces.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
