@@ -141,6 +141,7 @@ CVE_WORD = re.compile(fixed.CVE_WORD.replace("(?U)", "(?i)"))
 SPELLINGS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names)
 _TEXT, _TEXTS = pa.string(), pa.list_(pa.string())
 WALKED = pa.struct([
+    ("valid", pa.bool_()),
     ("hash", _TEXT),
     ("texts", _TEXTS),
     ("entries", pa.list_(pa.struct([
@@ -163,6 +164,7 @@ def _walk(text: str | None) -> dict | None:
     infos = related.get("activeFindingProviderInfos") if isinstance(related, dict) else None
     body = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
     return {
+        "valid": isinstance(document, dict) and isinstance(document.get("data"), dict) and bool(document.get("findingId")),
         "hash": hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(),
         "texts": list(dict.fromkeys(_texts(shared.get("i18n") if isinstance(shared, dict) else None))),
         "entries": [
@@ -192,7 +194,18 @@ def with_walk(df: DataFrame, text: str = "body") -> DataFrame:
     def walk(texts: pa.Array) -> pa.Array:
         return pa.array([_walk(text) for text in texts.to_pylist()], type=WALKED)
 
-    return df.withColumn("walked", walk(F.col(text)))
+    # Marked so that the optimizer never evaluates it again inside a pushed-down filter.
+    return df.withColumn("walked", walk.asNondeterministic()(F.col(text)))
+
+
+def parsed(df: DataFrame, text: str = "body") -> DataFrame:
+    """Adds ``doc``, the VARIANT of a JSON text."""
+    return df.withColumn("doc", F.try_parse_json(text))
+
+
+def valid_documents(df: DataFrame, text: str = "body") -> DataFrame:
+    """The valid detail documents with ``walked`` and ``doc``; the strict check rides on the walk, the text is parsed once."""
+    return parsed(with_walk(df, text).where("walked.valid"), text).drop(text)
 
 
 def envelopes(df: DataFrame, text: str = "body") -> DataFrame:

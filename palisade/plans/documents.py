@@ -120,7 +120,7 @@ def bodies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return documents.with_walk(documents.envelopes(bodies(spark, sf)).where("valid"))
+    return documents.valid_documents(bodies(spark, sf))
 
 
 def normalized(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,7 +177,7 @@ def _(spark, sf):
         "data.data.assessmentsRelated.activeFindingProviderInfos[].technicalDetails.components[].package",
         "data.data.assessmentsRelated.activeFindingProviderInfos[].sharedDetailsLocal.i18n.zz.more.text",
     ]
-    docs = documents.envelopes(bodies(spark, sf))
+    docs = documents.parsed(bodies(spark, sf))
     found = profile.path_inventory(documents.leaves(docs, F.col("doc"), ["source"]))
     return found.where(F.col("shape").isin(wanted)).groupBy("shape").agg(F.sum("populated").alias("populated"))
 
@@ -186,7 +186,7 @@ def _(spark, sf):
 SELECT CAST(2 * count(*) AS BIGINT) AS techniques, count(component) AS packages FROM docs
 """))
 def _(spark, sf):
-    docs = documents.envelopes(bodies(spark, sf))
+    docs = documents.parsed(bodies(spark, sf))
     found = documents.leaves_any_depth(docs, F.col("doc"), ["source"])
     return found.agg(
         F.count_if(F.col("path").contains(".mitreAttackTtps[")).alias("techniques"),
@@ -197,7 +197,7 @@ def _(spark, sf):
 SELECT DISTINCT * FROM (SELECT 'findings/' || findingId || '.json' AS source,
   unnest([firstCve, secondCve, 'CVE-1999-0001']) AS cve FROM docs) WHERE cve IS NOT NULL"""))
 def _(spark, sf):
-    docs = documents.envelopes(bodies(spark, sf))
+    docs = documents.parsed(bodies(spark, sf))
     strings = documents.leaves(docs, F.col("doc"), ["source"]).where("kind = 'string'")
     return strings.select("source", F.explode(text.cve_words(F.col("value"))).alias("cve")).distinct()
 
@@ -353,7 +353,7 @@ UNION ALL SELECT findingId, lastSeen, substr(sha256(findingId || '|' || coalesce
 
 @query("finding_events", _docs(EVENTS_SQL))
 def _(spark, sf):
-    return evidence.event_rows(documents.envelopes(bodies(spark, sf))).drop("assetId", "hostname", "previousStatus", "rawEventReference")
+    return evidence.event_rows(documents.parsed(bodies(spark, sf))).drop("assetId", "hostname", "previousStatus", "rawEventReference")
 
 
 @query("evidence_diagnostics", _docs("""

@@ -47,6 +47,13 @@ def test_whole_text_must_be_json(spark):
         True, False, False, False, False, False, True, True]
 
 
+def test_walk_and_envelope_agree_on_validity(spark):
+    bodies = ['{"findingId":"f","data":{}}', '{"findingId":"f","data":{}}}', '{"findingId":"f","data":[]}', '[]', '{"findingId":"","data":{}}']
+    frame = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "source string, body string")
+    assert [r["source"] for r in documents.valid_documents(frame).collect()] == ["0"]
+    assert [r["source"] for r in documents.envelopes(frame).where("valid").collect()] == ["0"]
+
+
 def test_same_component_twice_gives_two_occurrences(spark):
     rows = found(spark, envelope([TWO_COPIES]))
     component = evidence.component_rows(rows).collect()
