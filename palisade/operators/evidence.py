@@ -17,6 +17,7 @@ from palisade.functions.nulls import blank_to_null
 from palisade.functions.text import event_type, normalize_scanner, short_digest
 from palisade.operators.details import INFOS
 from palisade.operators.skew import first_per_key
+from palisade.session import written
 
 FIELDS = list(fixed.FIELD_SPELLINGS)
 
@@ -222,26 +223,28 @@ def scanner_reference_rows(entries: DataFrame, source: str = "source") -> DataFr
 
 
 def diagnostics(docs: DataFrame, source: str = "source") -> DataFrame:
-    """How much evidence a set of documents holds."""
-    entries = scanner_entries(docs, source)
-    found = candidates(entries, source)
+    """How much evidence a set of documents holds, as (measure, value).
+
+    The candidates are written once; components, occurrences and references are all counted from them.
+    """
+    atoms = at(F.col("doc"), "data.assessmentsRelated.findingAuditHistory.info.atomInfos", "array<variant>")
+    events = F.coalesce(F.size(F.filter(atoms, is_object)), F.lit(0))
+    found = written(candidates(scanner_entries(docs, source), source).select(
+        source, "findingId", "assetId", "hostname", "scanner", "references", "sourceHash", "retrievedAt", "entry", "place",
+        "paths", "isCandidate", "candidatesInEntry", "firstOfEntry", "componentId", "package", "installed_version",
+        "required_version", "install_path"), "candidates")
     versioned = F.coalesce("installed_version", "required_version").isNotNull()
 
     def measure(df: DataFrame, **values: Column) -> DataFrame:
-        return df.agg(*[value.cast("bigint").alias(name) for name, value in values.items()])
-
-    parts = [
-        measure(docs, findings=F.count(F.lit(1))),
-        measure(components(found, source), components=F.count(F.lit(1)), versions=F.count_if(versioned)),
-        measure(occurrences(found, source), paths=F.count(F.lit(1))),
-        measure(entries, scannerReferences=F.sum(F.size("references"))),
-        measure(event_rows(docs, source), historyEvents=F.count(F.lit(1))),
-    ]
-    long = None
-    for part in parts:
-        rows = part.unpivot([], part.columns, "measure", "value")
-        long = rows if long is None else long.unionByName(rows)
-    return long
+        counted = df.agg(*[F.coalesce(value.cast("bigint"), F.lit(0)).alias(name) for name, value in values.items()])
+        return counted.unpivot([], list(values), "measure", "value")
+
+    return (
+        measure(docs, findings=F.count(F.lit(1)), historyEvents=F.sum(events))
+        .unionByName(measure(components(found, source), components=F.count(F.lit(1)), versions=F.count_if(versioned)))
+        .unionByName(measure(occurrences(found, source), paths=F.count(F.lit(1))))
+        .unionByName(measure(found.where("firstOfEntry"), scannerReferences=F.sum(F.size("references"))))
+    )
 
 
 def mitre_ids(doc: Column) -> Column:
