@@ -13,6 +13,8 @@ TABLES = ("customer", "nation", "region", "orders", "lineitem", "part", "supplie
 # The moment ages are measured from; never the wall clock.
 AS_OF = "2002-01-01"
 
+SPREAD_BYTES = 500_000
+
 ASSETS = """
 SELECT 'asset-' || CAST(c.c_custkey AS STRING) AS assetId,
        CASE WHEN c.c_custkey % 11 = 0
@@ -133,13 +135,14 @@ _NEEDS = {"merged": ("search",), "findings": ("merged",), "instances": ("assets"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table. A file in a few pieces, fewer than there are cores, is dealt out before row work starts.
+    """A driver table. One that Spark would read in fewer tasks than there are cores is dealt out before row work starts.
 
-    One Parquet row group is read by one task; a table of many files never takes this branch.
+    A Parquet row group is read by one task; a table of many files never takes this branch, nor does a tiny one.
     """
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if 1 < df.rdd.getNumPartitions() < cores:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
         return df.repartition(2 * cores, *df.columns[:4])
     return df
 
