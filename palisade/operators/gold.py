@@ -65,14 +65,18 @@ def asset_summary(assets: DataFrame, facts: DataFrame, as_of: str, threshold: fl
     )
 
 
-def critical_findings(assets: DataFrame, facts: DataFrame, threshold: float = CRITICAL_TRS) -> DataFrame:
-    """Findings at or above the threshold, or of critical severity, with their asset columns."""
+def critical_findings(assets: DataFrame, facts: DataFrame, threshold: float = CRITICAL_TRS,
+                      keys_from: DataFrame | None = None) -> DataFrame:
+    """Findings at or above the threshold, or of critical severity, with their asset columns.
+
+    ``keys_from`` may name a cheaper relation with the asset ids, such as the raw search rows, to look for hot ones.
+    """
     chosen = facts.where(is_critical(threshold)).drop("hostname")
     dims = assets.select("assetId", "hostname", "ipAddress", "assetOsPrimary")
-    return hot_safe_join(chosen, dims, ["assetId"], keys_from=facts).select(*CRITICAL_COLUMNS)
+    return hot_safe_join(chosen, dims, ["assetId"], keys_from=keys_from).select(*CRITICAL_COLUMNS)
 
 
-def cve_summary(assets: DataFrame, facts: DataFrame) -> DataFrame:
+def cve_summary(assets: DataFrame, facts: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
     """Spread, top scores and the lists of scanners, systems and countries per CVE."""
     known = facts.where(F.col("cve").isNotNull())
     # One row per (CVE, asset) is enough for the asset columns and for counting assets.
@@ -87,7 +91,7 @@ def cve_summary(assets: DataFrame, facts: DataFrame) -> DataFrame:
         F.collect_set("provider").alias("scanners"),
     )
     dims = assets.select("assetId", "assetOsPrimary", "country")
-    placed = hot_safe_join(by_asset, dims, ["assetId"], keys_from=facts)
+    placed = hot_safe_join(by_asset, dims, ["assetId"], keys_from=keys_from)
     return placed.groupBy("cve").agg(
         F.count(F.lit(1)).alias("affectedAssets"),
         F.sum("n").alias("openInstances"),

@@ -43,7 +43,7 @@ def hot_safe_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "
     """
     if how not in ("inner", "left"):
         raise ValueError("hot_safe_join keeps the fact side: inner or left")
-    hot = F.broadcast(hot_keys((keys_from or fact).select(*keys), keys).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys((fact if keys_from is None else keys_from).select(*keys), keys).withColumn("_hot", F.lit(True)))
     hashable = [name for name, kind in fact.dtypes if "map<" not in kind and "variant" not in kind]
     deal = F.pmod(F.xxhash64(*hashable), F.lit(SPLITS)).cast("int")
     # Rows with a null key match nothing, so they are dealt out as well.

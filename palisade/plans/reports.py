@@ -257,7 +257,7 @@ _CVE_SUMMARY = """SELECT cve AS "cveId", count(DISTINCT assetId) AS "affectedAss
 
 
 def cve_summary(spark, sf):
-    return gold.cve_summary(lens(spark, sf, "assets"), facts(spark, sf))
+    return gold.cve_summary(lens(spark, sf, "assets"), facts(spark, sf), keys_from=lens(spark, sf, "search"))
 
 
 @query("cves_presented", oracle(f"""
@@ -349,7 +349,7 @@ def wide(spark, sf):
 
 
 def critical(spark, sf):
-    return gold.critical_findings(lens(spark, sf, "assets"), facts(spark, sf))
+    return gold.critical_findings(lens(spark, sf, "assets"), facts(spark, sf), keys_from=lens(spark, sf, "search"))
 
 
 _SCOPE = """assetId IN (SELECT assetId FROM wide WHERE contains(',' || "perimeterIds" || ',', ',per-2,')
