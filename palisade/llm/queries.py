@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate
+from palisade.llm import decontaminate, near_dedup, packing
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -32,3 +33,15 @@ def query(name: str, oracle: str | None = None) -> Callable[[Plan], Plan]:
 @query("op1_decontaminate", decontaminate.ORACLE_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_hyperminhash_near_dedup", near_dedup.ORACLE_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id",
+                        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
