@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate, near_dedup, packing, toxicity
+from palisade.llm import decontaminate, language, near_dedup, packing, toxicity
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -50,3 +50,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_byte_network_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
