@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate, language, near_dedup, packing, secret_scan, toxicity
+from palisade.llm import decontaminate, language, near_dedup, packing, secret_scan, substring_dedup, toxicity
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -60,3 +60,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_trigram_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
