@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate, language, near_dedup, neighbours, packing, secret_scan, substring_dedup, toxicity
+from palisade.llm import decontaminate, language, main_text, near_dedup, neighbours, packing, secret_scan, substring_dedup, toxicity
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -70,3 +70,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_learned_partitions")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % neighbours.QUERY_EVERY == 0)
+
+
+@query("op3_consensus_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_texts(table(spark, sf_dir, "pages"))
