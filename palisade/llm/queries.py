@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate, language, main_text, near_dedup, neighbours, packing, secret_scan, substring_dedup, toxicity
+from palisade.llm import decontaminate, language, main_text, near_dedup, neighbours, packing, secret_scan, substring_dedup, surrogates, toxicity
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -75,3 +75,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_consensus_main_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op10_surrogates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return surrogates.replaced(docs)
