@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.llm.common import lower_ascii, row_key, small_side
+from palisade.operators.skew import hot_safe_join
 from palisade.session import written
 
 WINDOW = 13
@@ -23,6 +24,8 @@ RARE_TERMS = 3
 # Broadcast bounds, in rows: vocabulary and anchor terms (some 50 bytes each), candidate document keys (16 bytes each).
 TERM_ROWS = 200_000
 KEY_ROWS = 1_000_000
+# Items with their words and windows, some 3 kB each for a paragraph.
+ITEM_ROWS = 5_000
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -96,7 +99,10 @@ def phrase_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, rare: i
     by_item = spans.groupBy("item_key").agg(F.collect_list(
         F.struct("start", "n", F.transform("rare", lambda r: r["place"]).alias("places"))).alias("spans"))
     by_item = by_item.join(said, "item_key")
-    alignments = aligned.join(by_item, "item_key").select(
+    by_item = written(by_item, "items")
+    few = small_side(by_item, ITEM_ROWS)
+    placed = aligned.join(few, "item_key") if few is not by_item else hot_safe_join(aligned, by_item, ["item_key"])
+    alignments = placed.select(
         "key", "shift", "item_words", "item_ids",
         F.filter("spans", lambda s: (F.size(F.array_except(s["places"], F.col("agreed"))) == 0)
                  & (F.col("shift") + s["start"] >= 0)).alias("spans"),
@@ -153,6 +159,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs``, as they are, without the contaminated ones."""
+    rows = keyed(docs)
+    hits = small_side(written(phrase_hits(rows, items, window), "hits"), KEY_ROWS)
+    bad = rows.join(hits, "key").where(20 * F.col("n_hit") >= n_words(F.col("text"))).select(F.col("key").alias("_row_key")).distinct()
+    marked = docs.withColumn("_row_key", row_key(F.col("text"), F.col("doc_id")))
+    return marked.join(small_side(written(bad, "contaminated"), KEY_ROWS), "_row_key", "left_anti").select(*docs.columns)
+
+
 ORACLE_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -34,6 +34,7 @@ MARGIN = 0.15
 ESTIMATE_FROM = 64
 # Broadcast bound in rows of (id, partner ids).
 PAIR_ROWS = 200_000
+KEY_ROWS = 1_000_000
 
 _REST = np.uint64(64 - 7)
 _STARTS = np.arange(BUCKETS + 1, dtype=object) << 57
@@ -218,6 +219,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -
         F.coalesce("comp", "doc_id").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs``, as they are, but one document of each group: the smallest id. Rows without an id stay."""
+    found = written(near_duplicates(docs, shingle, percent).select("doc_id", "component_id"), "components")
+    gone = small_side(written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone"), KEY_ROWS)
+    left = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    # Repeated rows of one id: only these move.
+    again = written(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null").select(
+        F.col("doc_id").alias("_again")), "again")
+    if again.isEmpty():
+        return left
+    again = small_side(again, KEY_ROWS)
+    once = left.join(again, left["doc_id"] == again["_again"], "left_semi").dropDuplicates(["doc_id"])
+    return left.join(again, left["doc_id"] == again["_again"], "left_anti").unionByName(once)
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
