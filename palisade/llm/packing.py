@@ -23,7 +23,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,30 +163,31 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
     groups = max(1, -(-total[0] // group_tokens), -(-total[1] // group_rows))
     names = [c for c in rows.columns if c != "ids"]
 
-    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["deal", "doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
-        bins, places, left = best_fit(pdf["length"].tolist(), capacity, open_bins)
-        top = int(pdf["grp"].iloc[0]) << 32
+    def packed(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in ("deal", "doc_id", "piece", "ids_crc32")])
+        bins, places, left = best_fit(group["length"].to_pylist(), capacity, open_bins)
         ids = np.asarray(bins, dtype=np.int64)
-        return pdf[names].assign(sequence_id=ids + top, offset=np.asarray(places, dtype=np.int64), open=np.isin(ids, left))
+        top = group["grp"][0].as_py() << 32 if len(ids) else 0
+        done = group.select(names).append_column("sequence_id", pa.array(ids + top))
+        return done.append_column("offset", pa.array(places, pa.int64())).append_column("open", pa.array(np.isin(ids, left)))
 
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in names)
     dealt = _deal(rows.select(*names), ["doc_id", "piece", "ids_crc32"], groups)
-    first = written(dealt.groupBy("grp").applyInPandas(packed, f"{schema}, sequence_id long, offset long, open boolean"), "packed")
+    first = written(dealt.groupBy("grp").applyInArrow(packed, f"{schema}, sequence_id long, offset long, open boolean"), "packed")
 
     # Bins left open, as bundles across groups.
     bundles = first.where("open").groupBy("sequence_id").agg(F.sum("length").alias("length"))
     merges = -(-groups // GROUPS_PER_MERGE)
 
-    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "sequence_id"], ascending=[False, True], ignore_index=True)
-        bins, places, _ = best_fit(pdf["length"].tolist(), capacity, len(pdf) + 1)
-        top = (1 << 62) + (int(pdf["grp"].iloc[0]) << 32)
-        return pd.DataFrame({"sequence_id": pdf["sequence_id"], "into": np.asarray(bins, dtype=np.int64) + top,
-                             "at": np.asarray(places, dtype=np.int64)})
+    def merged(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("length", "descending"), ("sequence_id", "ascending")])
+        bins, places, _ = best_fit(group["length"].to_pylist(), capacity, len(group) + 1)
+        top = (1 << 62) + (group["grp"][0].as_py() << 32) if len(group) else 0
+        return pa.table({"sequence_id": group["sequence_id"], "into": pa.array(np.asarray(bins, dtype=np.int64) + top),
+                         "at": pa.array(places, pa.int64())})
 
-    moved = _deal(bundles, ["sequence_id"], merges).groupBy("grp").applyInPandas(merged, "sequence_id long, into long, at long")
+    moved = _deal(bundles, ["sequence_id"], merges).groupBy("grp").applyInArrow(merged, "sequence_id long, into long, at long")
     return first.join(moved, "sequence_id", "left").select(
         *names, F.coalesce("into", "sequence_id").alias("sequence_id"),
         (F.col("offset") + F.coalesce("at", F.lit(0))).alias("offset"))

@@ -10,6 +10,7 @@ BASE_RULES = [
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 20),
     ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m.group()) >= 24),
 ]
+LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def digest(text: str) -> str:
@@ -20,6 +21,31 @@ def held_out(doc_id) -> bool:
     return zlib.crc32(str(doc_id).encode()) % 4 == 2
 
 
+def item_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def contamination_rows(docs, items, size=13):
+    spans = {}
+    for item_id, text in items:
+        words = item_words(text)
+        n = min(size, len(words))
+        for k in range(len(words) - n + 1 if n else 0):
+            spans.setdefault(tuple(words[k : k + n]), set()).add(str(item_id))
+    sizes = {len(s) for s in spans}
+    rows = []
+    for doc_id, text in docs:
+        words, hit, found = item_words(text), set(), set()
+        for n in sizes:
+            for k in range(len(words) - n + 1):
+                own = spans.get(tuple(words[k : k + n]))
+                if own:
+                    hit.update(range(k, k + n))
+                    found |= own
+        rows.append((doc_id, len(words), len(hit), len(found), digest(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(words)))
+    return rows
+
+
 def secret_row(doc_id, text):
     found = [[(m.start(), k, m.end()) for m in rx.finditer(text or "") if good(m)] for k, (_, rx, good) in enumerate(BASE_RULES)]
     base = sorted(s for own in found for s in own)
@@ -29,16 +55,50 @@ def secret_row(doc_id, text):
 
 def substring_rows(docs, size=50):
     """docs: (doc_id, text). Rows (doc_id, n_words, n_removed, kept_sha256)."""
-    words = {d: re.findall(r"[^\x20\x09-\x0D]+", t or "") for d, t in docs}
+    words = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in docs]
     first: dict[tuple, int] = {}
-    for d in sorted(words):
-        for k in range(len(words[d]) - size + 1):
-            first.setdefault(tuple(words[d][k : k + size]), d)
+    for d, own in sorted((w for w in words if w[0] is not None), key=lambda w: w[0]):
+        for k in range(len(own) - size + 1):
+            first.setdefault(tuple(own[k : k + size]), d)
     rows = []
-    for d, own in words.items():
+    for d, own in words:
         gone = set()
-        for k in range(len(own) - size + 1):
+        for k in range(len(own) - size + 1 if d is not None else 0):
             if first[tuple(own[k : k + size])] < d:
                 gone.update(range(k, k + size))
         rows.append((d, len(own), len(gone), digest(" ".join(w for k, w in enumerate(own) if k not in gone))))
     return rows
+
+
+def shingle_set(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    n = min(size, len(words))
+    return {tuple(words[k : k + n]) for k in range(len(words) - n + 1)} if n else set()
+
+
+def near_rows(docs, size=2, percent=80):
+    """Rows (doc_id, n_shingles, component_id)."""
+    sets = [(d, shingle_set(t, size)) for d, t in docs]
+    parent = {d: d for d, _ in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            both = len(x & y)
+            if both and 100 * both >= percent * (len(x) + len(y) - both):
+                p, q = sorted((root(a), root(b)))
+                parent[q] = p
+    return [(d, len(s), root(d)) for d, s in sets]
+
+
+def nearest_rows(rows, top=20, every=20):
+    """rows: (vec_id, vector). {query_id: [(vec_id, score)]} in exact order."""
+    import numpy as np
+
+    good = [(i, np.asarray(v, dtype=np.float64)) for i, v in rows if i is not None and v and None not in v]
+    good = [(i, v) for i, v in good if np.isfinite(v).all() and v.any()]
+    return {i: sorted(((j, float(v @ w)) for j, w in good if j != i), key=lambda x: (-x[1], x[0]))[:top] for i, v in good if i % every == 0}
