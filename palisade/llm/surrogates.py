@@ -125,7 +125,8 @@ def _shuffled(key: str, gender: str, script: str, attempt: int) -> dict[str, str
 
 def surrogate(kind: str, canon: str, key: str, attempt: int = 0) -> str:
     """The replacement of an entity in canonical form (see :func:`canonical`)."""
-    tweak = f"{kind}|{attempt}"
+    # Later attempts are permutations of the entity's own, so a group that met in one surrogate parts at once.
+    tweak = f"{kind}|{attempt}|{canon}" if attempt else kind
     if kind == "ip":
         o = [int(x) for x in canon.split(".")]
         return ".".join(map(str, permuted(o, [256] * 4, key, tweak)))
@@ -272,6 +273,6 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
             found = [hashlib.blake2b(t.encode(), digest_size=16).hexdigest() if t else None for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "_mark"])
 
-    with_mark = docs.mapInArrow(marked, docs.select("*", F.lit("").alias("_mark")).schema)
+    with_mark = docs.mapInArrow(marked, docs.select("*", F.lit(None).cast("string").alias("_mark")).schema)
     carried = with_mark.join(small_side(marks.withColumnRenamed("mark", "_mark"), KEY_ROWS), "_mark", "left")
     return carried.select(*docs.columns, F.col("attempts").alias("_attempts")).mapInArrow(run, schema)
