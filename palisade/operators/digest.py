@@ -72,7 +72,7 @@ def history_lines(findings: DataFrame, observations: DataFrame, rows: int = 20,
 def coverage_counts(findings: DataFrame, observed: DataFrame, with_component: DataFrame) -> DataFrame:
     """How many findings of each asset have a CVE, a score, dates, a remediation, a history and components."""
     flagged = (
-        findings.join(observed.select("findingId").distinct().withColumn("_h", F.lit(True)), "findingId", "left")
+        findings.join(observed.select("assetId", "findingId").distinct().withColumn("_h", F.lit(True)), ["assetId", "findingId"], "left")
         .join(with_component.select("findingId").distinct().withColumn("_c", F.lit(True)), "findingId", "left"))
     has_component = F.col("_c") | first_present(F.col("affectedProduct"), F.col("detectedVersion"), F.col("targetVersion")).isNotNull()
     return flagged.groupBy("assetId").agg(

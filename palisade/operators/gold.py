@@ -14,11 +14,10 @@ from palisade.functions.dates import day_boundaries
 from palisade.functions.nulls import blank_to_null
 from palisade.functions.scoring import priority
 from palisade.functions.text import stable_key
-from palisade.operators.skew import hot_safe_join
 
 CRITICAL_COLUMNS = [
     "assetId", "hostname", "ipAddress", "assetOsPrimary", "findingId", "findingName", "status", "hyScoreV2", "cve",
-    "cvssScore", "severity", "provider", "port", "protocol", "service", "description", "remediation",
+    "cvssScore", "cvssVector", "severity", "provider", "port", "protocol", "service", "description", "remediation",
     "firstSeen", "lastSeen",
 ]
 
@@ -65,18 +64,17 @@ def asset_summary(assets: DataFrame, facts: DataFrame, as_of: str, threshold: fl
     )
 
 
-def critical_findings(assets: DataFrame, facts: DataFrame, threshold: float = CRITICAL_TRS,
-                      keys_from: DataFrame | None = None) -> DataFrame:
+def critical_findings(assets: DataFrame, facts: DataFrame, threshold: float = CRITICAL_TRS) -> DataFrame:
     """Findings at or above the threshold, or of critical severity, with their asset columns.
 
-    ``keys_from`` may name a cheaper relation with the asset ids, such as the raw search rows, to look for hot ones.
+    A hot asset is a split key of the join: the asset side has one row per key, so adaptive execution copies that row.
     """
     chosen = facts.where(is_critical(threshold)).drop("hostname")
     dims = assets.select("assetId", "hostname", "ipAddress", "assetOsPrimary")
-    return hot_safe_join(chosen, dims, ["assetId"], keys_from=keys_from).select(*CRITICAL_COLUMNS)
+    return chosen.join(dims, "assetId").select(*CRITICAL_COLUMNS)
 
 
-def cve_summary(assets: DataFrame, facts: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+def cve_summary(assets: DataFrame, facts: DataFrame) -> DataFrame:
     """Spread, top scores and the lists of scanners, systems and countries per CVE."""
     known = facts.where(F.col("cve").isNotNull())
     # One row per (CVE, asset) is enough for the asset columns and for counting assets.
@@ -91,7 +89,7 @@ def cve_summary(assets: DataFrame, facts: DataFrame, keys_from: DataFrame | None
         F.collect_set("provider").alias("scanners"),
     )
     dims = assets.select("assetId", "assetOsPrimary", "country")
-    placed = hot_safe_join(by_asset, dims, ["assetId"], keys_from=keys_from)
+    placed = by_asset.join(dims, "assetId")
     return placed.groupBy("cve").agg(
         F.count(F.lit(1)).alias("affectedAssets"),
         F.sum("n").alias("openInstances"),

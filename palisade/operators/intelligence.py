@@ -15,7 +15,7 @@ from palisade.functions.dates import age_days, day_text
 from palisade.functions.json_text import text_list
 from palisade.functions.nulls import blank_to_null, first_present, zero_if_null
 from palisade.functions.text import normalize_cve, normalize_scanner
-from palisade.operators.skew import hot_safe_join, ordinals, top_per_key
+from palisade.operators.skew import ordinals, top_per_key
 
 
 def _cve_list(row_cve: Column, listed: Column) -> Column:
@@ -27,9 +27,9 @@ def _cve_list(row_cve: Column, listed: Column) -> Column:
 def assemble_findings(rows: DataFrame, details: DataFrame, as_of: str) -> DataFrame:
     """Search rows completed by their detail row: scanner, CVEs, dates, age, state, priority and drivers.
 
-    ``details`` has one row per finding, with columns prefixed ``d_``; lists are JSON text.
+    ``details`` has one row per (finding, asset), with columns prefixed ``d_``; lists are JSON text.
     """
-    joined = rows.join(details, "findingId", "left")
+    joined = rows.join(details, ["findingId", "assetId"], "left")
     first = F.coalesce("d_firstSeen", "firstSeen")
     last = F.coalesce("d_lastSeen", "lastSeen")
     base = joined.select(
@@ -137,38 +137,56 @@ def scan_history(findings: DataFrame) -> DataFrame:
     )
 
 
+def component_findings(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
+    """Every component entry under each asset that has its finding, with the finding's CVEs, scores and priority."""
+    own = findings.select("assetId", "findingId", "trs", "priority", "cves", "cvss", "recommendation")
+    return component_rows.drop("assetId").join(own, "findingId")
+
+
 def components(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
-    """One row per (asset, component); descriptive fields come from the highest ranked finding."""
-    ranked = component_rows.join(findings.select("findingId", "trs"), "findingId")
+    """One row per (asset, component); descriptive fields come from the highest ranked finding.
+
+    Versions and findings are child rows: :func:`component_versions`, :func:`component_findings`.
+    """
     described = ("vendor", "product", "component", "package", "ecosystem", "language")
     best = F.min_by(
         F.struct(*described), F.struct(-zero_if_null(F.col("trs")), F.col("findingId"), F.col("scanner")))
-    return ranked.groupBy("assetId", "componentId").agg(
+    return component_findings(component_rows, findings).groupBy("assetId", "componentId").agg(
         best.alias("b"),
-        F.max("installedVersion").alias("installedVersion"),
-        F.count_distinct("requiredVersion").alias("requiredVersions"),
         F.count(F.lit(1)).alias("findingCount"),
         F.count_distinct("sourcePayloadReference").alias("sourcePayloads"),
-    ).select("assetId", "componentId", "b.*", "installedVersion", "requiredVersions", "findingCount", "sourcePayloads")
+    ).select("assetId", "componentId", "b.*", "findingCount", "sourcePayloads")
+
+
+def component_versions(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
+    """The distinct installed and required versions of a component, as rows."""
+    both = F.array(F.struct(F.lit("installed").alias("kind"), F.col("installedVersion").alias("version")),
+                   F.struct(F.lit("required").alias("kind"), F.col("requiredVersion").alias("version")))
+    rows = component_findings(component_rows, findings).select("assetId", "componentId", F.inline(both))
+    return rows.where("version <> ''").distinct()
 
 
 def component_risk(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
-    """Findings, distinct CVEs and priorities per component."""
-    linked = component_rows.select("assetId", "componentId", "findingId").join(
-        findings.select("findingId", "priority", "cves"), "findingId")
+    """Name, entries, distinct CVEs and priorities per component."""
+    linked = component_findings(component_rows, findings)
+    order = F.struct(-zero_if_null(F.col("trs")), F.col("findingId"), F.col("scanner"))
     counted = linked.groupBy("assetId", "componentId").agg(
+        F.min_by(F.struct("component", "package", "product"), order).alias("b"),
         F.count(F.lit(1)).alias("findingCount"),
         *[F.count_if(F.col("priority") == p).alias(f"{p.lower()}Count") for p in fixed.PRIORITIES])
     cves = linked.select("assetId", "componentId", F.explode("cves").alias("cve")).groupBy(
         "assetId", "componentId").agg(F.count_distinct("cve").alias("cveCount"))
-    return counted.join(cves, ["assetId", "componentId"], "left").fillna(0, ["cveCount"])
+    name = first_present(F.col("b.component"), F.col("b.package"), F.col("b.product"))
+    return counted.withColumn("name", name).drop("b").join(cves, ["assetId", "componentId"], "left").fillna(0, ["cveCount"])
 
 
-def attach_occurrences(component_rows: DataFrame, occurrences: DataFrame) -> DataFrame:
-    """Occurrences of known components, one row each; occurrences without a component are dropped."""
-    known = component_rows.select("assetId", "componentId").distinct()
-    rows = occurrences.select("assetId", "componentId", "occurrenceId", "installPath").where("componentId IS NOT NULL")
-    return hot_safe_join(rows, known, ["assetId", "componentId"])
+def attach_occurrences(component_rows: DataFrame, occurrences: DataFrame, findings: DataFrame) -> DataFrame:
+    """Occurrences of known components under each asset that has the finding, one row each; others are dropped."""
+    own = findings.select("assetId", "findingId")
+    known = component_rows.select("findingId", "componentId").join(own, "findingId").select("assetId", "componentId").distinct()
+    rows = occurrences.select("findingId", "componentId", "occurrenceId", "installPath").where("componentId IS NOT NULL")
+    placed = rows.join(own, "findingId").drop("findingId")
+    return placed.join(known, ["assetId", "componentId"])
 
 
 def _action_key(findings: DataFrame) -> DataFrame:
@@ -310,16 +328,18 @@ def missing_fields(findings: DataFrame, assets: DataFrame) -> DataFrame:
 
 
 def event_rollup(events: DataFrame, findings: DataFrame) -> DataFrame:
-    """First vulnerability, latest event and number of events per asset."""
+    """First vulnerability, latest event and number of events per asset, over the events of its findings."""
     first = findings.groupBy("assetId").agg(F.min("firstSeen").alias("firstVulnerabilitySeen"))
-    own = events.groupBy("assetId").agg(
-        F.max("eventTimestamp").alias("latestEvent"), F.count(F.lit(1)).alias("totalEvents"))
+    # Events are reduced to one row per finding before they meet the assets that have it.
+    each = events.groupBy("findingId").agg(F.max("eventTimestamp").alias("last"), F.count(F.lit(1)).alias("n"))
+    own = each.join(findings.select("assetId", "findingId"), "findingId").groupBy("assetId").agg(
+        F.max("last").alias("latestEvent"), F.sum("n").alias("totalEvents"))
     return first.join(own, "assetId", "left").fillna(0, ["totalEvents"])
 
 
 def finding_history(findings: DataFrame, assets: DataFrame) -> DataFrame:
     """Bounds, status, score, severity and state of every finding, with its host."""
-    return hot_safe_join(findings.drop("riskDrivers"), assets.select("assetId", "hostname"), ["assetId"]).select(
+    return findings.drop("riskDrivers").join(assets.select("assetId", "hostname"), "assetId").select(
         "hostname", "findingId", F.array_join("cves", ",").alias("cves"), "scanner", "firstSeen", "lastSeen", "status",
         "trs", "severity", F.col("historyState").alias("state"))
 
@@ -345,7 +365,7 @@ def asset_risk_history(assets: DataFrame, history: DataFrame) -> DataFrame:
 
 def asset_facts(posture_: DataFrame, concentration_: DataFrame, actions_: DataFrame) -> DataFrame:
     """Condensed facts per asset: posture, top findings, signals and how many actions wait."""
-    waiting = actions_.groupBy("assetId").agg(F.count(F.lit(1)).alias("actions"), F.max("id").alias("lastAction"))
+    waiting = actions_.groupBy("assetId").agg(F.count(F.lit(1)).alias("actions"), F.max_by("id", "order").alias("lastAction"))
     return posture_.join(concentration_, "assetId").join(waiting, "assetId").select(
         "assetId", "totalFindings", "uniqueCves", "overallPriority", F.col("persistentFindings").alias("persistent"),
         F.col("reopenedFindings").alias("reopened"), "topFindingIds", "actions", "lastAction",

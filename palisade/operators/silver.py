@@ -9,7 +9,7 @@ from palisade.operators.skew import first_per_key, hot_safe_join
 
 SEARCH_COLUMNS = [
     "assetId", "hostname", "findingId", "findingName", "status", "vulnerabilityTypeId", "hyScoreV2", "cve",
-    "cvssScore", "severity", "description", "remediation", "port", "protocol", "service", "provider",
+    "cvssScore", "cvssVector", "severity", "description", "remediation", "port", "protocol", "service", "provider",
     "firstSeen", "lastSeen", "cisaKev",
 ]
 # Newest first; the other columns make the order total so that ties always resolve the same way.
@@ -38,6 +38,12 @@ def latest_findings(merged: DataFrame) -> DataFrame:
     return first_per_key(merged, ["findingId"], newest_first(merged)).drop("assetId", "hostname")
 
 
+def facts(merged: DataFrame) -> DataFrame:
+    """Every (asset, finding) pair with the newest finding's columns. A finding on very many assets is one key of a plain
+    equi join with one row per key on the other side, which adaptive execution splits."""
+    return merged.select("assetId", "hostname", "findingId").join(latest_findings(merged), "findingId")
+
+
 def latest_assets(assets: DataFrame) -> DataFrame:
     order = [F.col("lastSeen").desc_nulls_last()] + [
         F.col(c).desc_nulls_last() for c in assets.columns if c not in ("assetId", "lastSeen")

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palisade.session import written
-
 # A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE hot keys:
 # that is the proven size of the broadcast below.
 HOT_SHARE = 500
@@ -56,30 +54,12 @@ def hot_safe_join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str = "
     return left.join(right, [*keys, "_deal"], how).drop("_deal")
 
 
-def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal",
-             window_rows: int = 100_000) -> DataFrame:
-    """1-based place of each row inside its key, in ascending order.
+def ordinals(df: DataFrame, keys: list[str], order: list[str], name: str = "ordinal") -> DataFrame:
+    """1-based place of each row inside its key, in ascending order. ``order`` must be unique within a key.
 
-    The rows are written once, because they are read for their sizes and for the numbering. While the largest key is
-    within ``window_rows`` an ordinary window does it. Beyond that the rows are range partitioned by (key, order),
-    numbered inside each piece, and shifted by the sizes of the earlier pieces; the piece numbers are written too, so
-    that a recomputed stage cannot change them. ``order`` must be unique within a key.
+    Give rows that are already reduced to one per (key, order): they are sorted by key, and a sort spills.
     """
-    rows = written(df, "rows")
-    largest = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    if largest <= window_rows:
-        return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    pieces = written(rows.repartitionByRange(*keys, *order).withColumn("_piece", F.spark_partition_id()), "pieces")
-    sizes = pieces.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    return (
-        pieces.withColumn("_at", F.row_number().over(inside))
-        .join(shifts, [*keys, "_piece"])
-        .withColumn(name, (F.col("_at") + F.col("_shift")).cast("int"))
-        .drop("_piece", "_at", "_shift")
-    )
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def portable_bucket(text: Column, buckets: Column) -> Column:

@@ -11,7 +11,7 @@ from palisade.operators.skew import first_per_key, listed
 from palisade.plans.documents import DETAIL_COLUMNS, DOCS_SQL
 from palisade.plans.lens import AS_OF, lens, oracle
 from palisade.plans.registry import query
-from palisade.plans.silver_gold import merged
+from palisade.plans.silver_gold import facts
 
 _AGE = f"greatest(0, CAST(floor(date_diff('second', firstSeen, TIMESTAMP '{AS_OF}') / 86400) AS BIGINT))"
 _BASE = r"""SELECT m.assetId, m.findingId,
@@ -27,7 +27,9 @@ _BASE = r"""SELECT m.assetId, m.findingId,
   coalesce(d.firstSeen, m.firstSeen) AS firstSeen, coalesce(d.lastSeen, m.lastSeen) AS lastSeen,
   d.component AS affectedProduct, d.detectedVersion, d.expectedVersion AS targetVersion,
   coalesce(nullif(d.remediation, ''), nullif(m.remediation, '')) AS recommendation, d.cisaKev, d.epssScore AS epss
-FROM merged m LEFT JOIN (SELECT * FROM docs WHERE component IS NOT NULL) d USING (findingId)"""
+FROM facts m LEFT JOIN own d ON m.findingId = d.findingId AND m.assetId = d.assetId"""
+# The newest detail row of a finding on an asset.
+_OWN = DOCS_SQL.replace("PARTITION BY findingId", "PARTITION BY findingId, assetId")
 _FX = f"""SELECT *, {_AGE} AS "ageDays", CASE WHEN firstSeen IS NULL AND lastSeen IS NULL THEN 0
     WHEN firstSeen IS NOT NULL AND lastSeen IS NOT NULL AND firstSeen <> lastSeen THEN 2 ELSE 1 END AS "observationCount",
   CASE WHEN firstSeen IS NOT NULL AND lastSeen IS NOT NULL AND firstSeen <> lastSeen THEN 'PERSISTENT'
@@ -37,11 +39,11 @@ _FX = f"""SELECT *, {_AGE} AS "ageDays", CASE WHEN firstSeen IS NULL AND lastSee
 
 
 def sql(body: str, **extra: str) -> str:
-    return oracle(body, "assets", "merged", "details", extra={"docs": DOCS_SQL, "base": _BASE, "fx": _FX, **extra})
+    return oracle(body, "assets", "facts", "details", extra={"docs": DOCS_SQL, "own": _OWN, "base": _BASE, "fx": _FX, **extra})
 
 
-def docs(spark, sf):
-    return first_per_key(lens(spark, sf, "details"), ["findingId"], [F.col(n).desc_nulls_last() for n in DETAIL_COLUMNS])
+def docs(spark, sf, keys=("findingId",)):
+    return first_per_key(lens(spark, sf, "details"), list(keys), [F.col(n).desc_nulls_last() for n in DETAIL_COLUMNS])
 
 
 def findings(spark, sf):
@@ -49,8 +51,8 @@ def findings(spark, sf):
         return F.when(F.col(column).isNotNull(), F.to_json(F.array(column))).otherwise("[]")
 
     nothing = F.lit(None).cast("string")
-    details = docs(spark, sf).where("component IS NOT NULL").select(
-        "findingId", F.col("providerId").alias("d_providerId"),
+    details = docs(spark, sf, ("findingId", "assetId")).select(
+        "findingId", "assetId", F.col("providerId").alias("d_providerId"),
         F.to_json(F.array_compact(F.array("firstCve", "secondCve"))).alias("d_cvesJson"),
         F.col("findingName").alias("d_findingName"), nothing.alias("d_cveDescriptionsJson"), nothing.alias("d_status"),
         F.col("cvssScore").alias("d_cvssScore"), F.col("firstSeen").alias("d_firstSeen"),
@@ -58,7 +60,7 @@ def findings(spark, sf):
         one("detectedVersion").alias("d_detectedVersionsJson"), one("expectedVersion").alias("d_expectedVersionsJson"),
         F.col("remediation").alias("d_remediation"), F.col("cisaKev").alias("d_cisaKev"),
         F.col("epssScore").alias("d_epssScore"))
-    return intel.assemble_findings(merged(spark, sf), details, AS_OF)
+    return intel.assemble_findings(facts(spark, sf), details, AS_OF)
 
 
 @query("findings_enriched", sql("""
@@ -128,7 +130,7 @@ def _(spark, sf):
 
 
 _CMP = """'cmp-' || substr(sha256(coalesce(assetId, '') || '|' || lower(component) || '|' || coalesce(detectedVersion, '')), 1, 16)"""
-_CX = f"""SELECT coalesce(assetId, '') AS assetId, findingId, {_CMP} AS "componentId",
+_CX = f"""SELECT findingId, {_CMP} AS "componentId",
   CASE providerId WHEN 'QUALYS_VM' THEN 'Qualys VM' WHEN 'crowdstrike' THEN 'CrowdStrike Falcon' WHEN 'Azure' THEN 'Microsoft Azure'
     ELSE coalesce(providerId, 'UNKNOWN') END AS scanner, component AS package, findingName AS product,
   detectedVersion AS "installedVersion", expectedVersion AS "requiredVersion", filePath AS "installPath"
@@ -139,7 +141,7 @@ def component_rows(spark, sf):
     nothing = F.lit(None).cast("string")
     rows = docs(spark, sf).where("component IS NOT NULL")
     return rows.select(
-        F.coalesce("assetId", F.lit("")).alias("assetId"), "findingId",
+        "findingId",
         component_id(F.col("assetId"), F.col("component"), F.col("detectedVersion")).alias("componentId"),
         normalize_scanner(F.col("providerId")).alias("scanner"), F.col("component").alias("package"),
         F.col("findingName").alias("product"), nothing.alias("vendor"), F.col("component").alias("component"),
@@ -152,48 +154,66 @@ def occurrence_rows(spark, sf):
     rows = component_rows(spark, sf)
     loose = F.when(F.substring("findingId", -1, 1) == "3", F.lit(None)).otherwise(F.col("componentId"))
     return rows.where("installPath IS NOT NULL").select(
-        "assetId", loose.alias("componentId"), occurrence_id(F.col("componentId"), F.col("installPath")).alias("occurrenceId"),
+        "findingId", loose.alias("componentId"), occurrence_id(F.col("componentId"), F.col("installPath")).alias("occurrenceId"),
         "installPath")
 
 
+# Components of a document belong to every asset that has its finding.
+_CF = """SELECT f.assetId, c.*, f.trs, f.priority, f.cves FROM cx c JOIN fx f ON f.findingId = c.findingId"""
+
+
 @query("components", sql("""
-SELECT c.assetId, "componentId", first(package ORDER BY coalesce(f.trs, 0) DESC, findingId, c.scanner) AS package,
-  first(product ORDER BY coalesce(f.trs, 0) DESC, findingId, c.scanner) AS product, max("installedVersion") AS "installedVersion",
-  count(DISTINCT "requiredVersion") AS "requiredVersions", count(*) AS "findingCount", count(DISTINCT findingId) AS "sourcePayloads"
-FROM cx c JOIN fx f USING (findingId) GROUP BY c.assetId, "componentId" """, cx=_CX))
+SELECT assetId, "componentId", first(package ORDER BY coalesce(trs, 0) DESC, findingId, scanner) AS package,
+  first(product ORDER BY coalesce(trs, 0) DESC, findingId, scanner) AS product, count(*) AS "findingCount",
+  count(DISTINCT findingId) AS "sourcePayloads" FROM cf GROUP BY assetId, "componentId" """, cx=_CX, cf=_CF))
 def _(spark, sf):
     return intel.components(component_rows(spark, sf), findings(spark, sf)).select(
-        "assetId", "componentId", "package", "product", "installedVersion", "requiredVersions", "findingCount", "sourcePayloads")
+        "assetId", "componentId", "package", "product", "findingCount", "sourcePayloads")
+
+
+@query("component_versions", sql("""
+SELECT DISTINCT assetId, "componentId", 'installed' AS kind, "installedVersion" AS version FROM cf WHERE "installedVersion" <> ''
+UNION ALL SELECT DISTINCT assetId, "componentId", 'required', "requiredVersion" FROM cf WHERE "requiredVersion" <> ''""", cx=_CX, cf=_CF))
+def _(spark, sf):
+    return intel.component_versions(component_rows(spark, sf), findings(spark, sf))
+
+
+@query("component_findings", sql("""
+SELECT assetId, "componentId", findingId, scanner, array_to_string(cves, ',') AS cves, priority FROM cf""", cx=_CX, cf=_CF))
+def _(spark, sf):
+    return intel.component_findings(component_rows(spark, sf), findings(spark, sf)).select(
+        "assetId", "componentId", "findingId", "scanner", F.array_join("cves", ",").alias("cves"), "priority")
 
 
 @query("component_lists", sql("""
 SELECT assetId, "componentId", CAST(1 AS BIGINT) AS parts, CAST(0 AS BIGINT) AS part,
-  CAST(to_json(list(findingId ORDER BY findingId)) AS VARCHAR) AS "itemsJson", count(*) AS items FROM cx GROUP BY 1, 2""", cx=_CX))
+  CAST(to_json(list(findingId ORDER BY findingId)) AS VARCHAR) AS "itemsJson", count(*) AS items
+FROM (SELECT DISTINCT assetId, "componentId", findingId FROM cf) GROUP BY 1, 2""", cx=_CX, cf=_CF))
 def _(spark, sf):
-    return listed(component_rows(spark, sf), ["assetId", "componentId"], "findingId")
+    return listed(intel.component_findings(component_rows(spark, sf), findings(spark, sf)), ["assetId", "componentId"], "findingId")
 
 
 @query("component_risk", sql("""
-SELECT c.assetId, "componentId", count(DISTINCT c.findingId) AS "findingCount", count(DISTINCT cve) AS "cveCount",
-  count(DISTINCT CASE WHEN priority = 'P1' THEN c.findingId END) AS "p1Count",
-  count(DISTINCT CASE WHEN priority = 'P2' THEN c.findingId END) AS "p2Count",
-  count(DISTINCT CASE WHEN priority = 'P3' THEN c.findingId END) AS "p3Count"
-FROM cx c JOIN fx f USING (findingId) LEFT JOIN (SELECT findingId, unnest(cves) AS cve FROM fx) x ON x.findingId = c.findingId
-GROUP BY c.assetId, "componentId" """, cx=_CX))
+SELECT assetId, "componentId", name, n AS "findingCount", coalesce(k, 0) AS "cveCount", p1 AS "p1Count", p2 AS "p2Count", p3 AS "p3Count"
+FROM (SELECT assetId, "componentId", count(*) AS n, count(*) FILTER (priority = 'P1') AS p1, count(*) FILTER (priority = 'P2') AS p2,
+        count(*) FILTER (priority = 'P3') AS p3, first(package ORDER BY coalesce(trs, 0) DESC, findingId, scanner) AS name
+      FROM cf GROUP BY 1, 2)
+LEFT JOIN (SELECT assetId, "componentId", count(DISTINCT cve) AS k FROM (SELECT *, unnest(cves) AS cve FROM cf) GROUP BY 1, 2)
+  USING (assetId, "componentId")""", cx=_CX, cf=_CF))
 def _(spark, sf):
     return intel.component_risk(component_rows(spark, sf), findings(spark, sf))
 
 
-_OX = """SELECT assetId, CASE WHEN findingId LIKE '%3' THEN NULL ELSE "componentId" END AS "componentId",
+_OX = """SELECT f.assetId, CASE WHEN c.findingId LIKE '%3' THEN NULL ELSE "componentId" END AS "componentId",
   'occ-' || substr(sha256("componentId" || '|' || "installPath"), 1, 16) AS "occurrenceId", "installPath"
-  FROM cx WHERE "installPath" IS NOT NULL"""
+  FROM cx c JOIN fx f ON f.findingId = c.findingId WHERE "installPath" IS NOT NULL"""
 
 
 @query("component_occurrences", sql("""
 SELECT o.assetId, o."componentId", o."occurrenceId", o."installPath" FROM ox o
-JOIN (SELECT DISTINCT assetId, "componentId" FROM cx) k USING (assetId, "componentId")""", cx=_CX, ox=_OX))
+JOIN (SELECT DISTINCT assetId, "componentId" FROM cf) k USING (assetId, "componentId")""", cx=_CX, cf=_CF, ox=_OX))
 def _(spark, sf):
-    return intel.attach_occurrences(component_rows(spark, sf), occurrence_rows(spark, sf))
+    return intel.attach_occurrences(component_rows(spark, sf), occurrence_rows(spark, sf), findings(spark, sf))
 
 
 _KX = """SELECT assetId, text, target, min(priority) AS priority, first(type ORDER BY coalesce(trs, 0) DESC, findingId) AS type,
@@ -210,7 +230,7 @@ _AX = """SELECT k.assetId, row_number() OVER (PARTITION BY k.assetId ORDER BY k.
 
 
 @query("remediation_actions", sql("""
-SELECT assetId, 'REM-' || lpad(CAST(ord AS VARCHAR), 3, '0') AS id, CAST(ord AS INTEGER) AS "order", priority, type, action,
+SELECT assetId, 'REM-' || printf('%03d', ord) AS id, CAST(ord AS INTEGER) AS "order", priority, type, action,
   "targetVersion", "findingCount", "cveCount", product,
   "findingCount" || ' finding(s), ' || "cveCount" || ' CVE, TRS max ' || CAST(CAST(round_even("maxTrs", 0) AS BIGINT) AS VARCHAR) AS reason
 FROM ax""", kx=_KX, ax=_AX))
@@ -235,7 +255,7 @@ def _(spark, sf):
 
 
 @query("validation_checks", sql("""
-SELECT assetId, 'technical' AS kind, 'VAL-' || lpad(CAST(ord AS VARCHAR), 3, '0') AS "checkId",
+SELECT assetId, 'technical' AS kind, 'VAL-' || printf('%03d', ord) AS "checkId",
   'Vérifier la version puis relancer le scan source' AS "check", 'PENDING' AS expected FROM ax
 UNION ALL SELECT DISTINCT assetId, 'scanner', scanner, NULL, 'NOT_DETECTED' FROM fx""", kx=_KX, ax=_AX))
 def _(spark, sf):
@@ -296,15 +316,14 @@ def _(spark, sf):
 
 
 def event_rows(spark, sf):
-    rows = docs(spark, sf).where("assetId IS NOT NULL")
-    return rows.select("assetId", F.explode(F.array("firstSeen", "lastSeen")).alias("eventTimestamp"))
+    return docs(spark, sf).select("findingId", F.explode(F.array("firstSeen", "lastSeen")).alias("eventTimestamp"))
 
 
 @query("event_rollup", sql("""
 SELECT assetId, "firstVulnerabilitySeen", "latestEvent", coalesce("totalEvents", 0) AS "totalEvents"
 FROM (SELECT assetId, min(firstSeen) AS "firstVulnerabilitySeen" FROM fx GROUP BY 1)
-LEFT JOIN (SELECT assetId, max(greatest(firstSeen, lastSeen)) AS "latestEvent", 2 * count(*) AS "totalEvents" FROM docs
-           WHERE assetId IS NOT NULL GROUP BY 1) USING (assetId)"""))
+LEFT JOIN (SELECT f.assetId, max(greatest(d.firstSeen, d.lastSeen)) AS "latestEvent", 2 * count(*) AS "totalEvents"
+           FROM docs d JOIN fx f ON f.findingId = d.findingId GROUP BY 1) USING (assetId)"""))
 def _(spark, sf):
     return intel.event_rollup(event_rows(spark, sf), findings(spark, sf))
 
@@ -335,7 +354,7 @@ def _(spark, sf):
 @query("asset_facts", sql("""
 SELECT assetId, "totalFindings", "uniqueCves", "overallPriority", "persistentFindings" AS persistent, "reopenedFindings" AS reopened,
   "topFindingIds", actions, "lastAction", 'No inferred CVE, score, date or scanner status' AS "constraint"
-FROM px JOIN rx USING (assetId) JOIN (SELECT assetId, count(*) AS actions, max('REM-' || lpad(CAST(ord AS VARCHAR), 3, '0')) AS "lastAction"
+FROM px JOIN rx USING (assetId) JOIN (SELECT assetId, count(*) AS actions, 'REM-' || printf('%03d', max(ord)) AS "lastAction"
   FROM ax GROUP BY 1) USING (assetId)""", px=_PX, rx=_RX, kx=_KX, ax=_AX))
 def _(spark, sf):
     found = findings(spark, sf)

@@ -13,8 +13,6 @@ TABLES = ("customer", "nation", "region", "orders", "lineitem", "part", "supplie
 # The moment ages are measured from; never the wall clock.
 AS_OF = "2002-01-01"
 
-SPREAD_BYTES = 500_000
-
 ASSETS = """
 SELECT 'asset-' || CAST(c.c_custkey AS STRING) AS assetId,
        CASE WHEN c.c_custkey % 11 = 0
@@ -36,20 +34,21 @@ JOIN {nation} n ON c.c_nationkey = n.n_nationkey
 JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
-SEARCH = """
-SELECT 'asset-' || CAST(o.o_custkey AS STRING) AS assetId,
-       'customer-' || lpad(CAST(o.o_custkey AS STRING), 9, '0') AS hostname,
+_SIGHTING = """
+SELECT 'asset-' || CAST([asset] AS STRING) AS assetId,
+       'customer-' || lpad(CAST([asset] AS STRING), 9, '0') AS hostname,
        CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS findingId,
        CASE WHEN l.l_partkey % 19 <> 0 THEN 'Weakness in lib' || CAST(l.l_partkey % 60 AS STRING) END AS findingName,
        CASE o.o_orderstatus WHEN 'O' THEN 'OPEN' WHEN 'F' THEN 'CLOSED' END AS status,
        'VT-' || CAST(l.l_partkey % 100 AS STRING) AS vulnerabilityTypeId,
-       CASE WHEN l.l_quantity <> 13 THEN round(l.l_extendedprice / 105, 2) END AS hyScoreV2,
+       CASE WHEN l.l_quantity <> 13 THEN round(l.l_extendedprice / [scale], 2) END AS hyScoreV2,
        CASE WHEN l.l_partkey % 10 = 0 THEN NULL
             WHEN l.l_linenumber = 2
             THEN ' cve-' || CAST(year(l.l_shipdate) AS STRING) || '-' || CAST(1000 + l.l_partkey % 40 AS STRING)
             ELSE 'CVE-' || CAST(year(l.l_shipdate) AS STRING) || '-' || CAST(1000 + l.l_partkey % 40 AS STRING)
        END AS cve,
        CASE WHEN l.l_tax < 0.075 THEN round(l.l_discount * 100, 1) END AS cvssScore,
+       CASE WHEN l.l_suppkey % 3 = 0 THEN 'CVSS:3.1/AV:N/PR:L/S:' || CAST(l.l_linenumber AS STRING) END AS cvssVector,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'HIGH' WHEN '3-MEDIUM' THEN 'medium'
             WHEN '5-LOW' THEN 'LOW' END AS severity,
        'Observed in release ' || CAST(l.l_suppkey % 7 AS STRING) AS description,
@@ -64,11 +63,25 @@ SELECT 'asset-' || CAST(o.o_custkey AS STRING) AS assetId,
        CASE l.l_suppkey % 5 WHEN 0 THEN 'QUALYS_VM' WHEN 1 THEN 'crowdstrike' WHEN 2 THEN 'Azure'
             WHEN 3 THEN 'TENABLE_IO' END AS provider,
        o.o_orderdate AS firstSeen,
-       CASE WHEN l.l_quantity <> 7 THEN l.l_shipdate END AS lastSeen,
+       CASE WHEN l.l_quantity <> 7 THEN l.l_shipdate[later] END AS lastSeen,
        l.l_returnflag = 'R' AND l.l_quantity > 45 AS cisaKev
 FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
 """
 
+
+def _sighting(asset: str, scale: str, later: str) -> str:
+    return _SIGHTING.replace("[asset]", asset).replace("[scale]", scale).replace("[later]", later)
+
+
+# Some findings sit on two assets; the second sighting has another score and is older or newer than the first.
+SEARCH = (
+    _sighting("o.o_custkey", "105", "")
+    + "UNION ALL"
+    + _sighting("(o.o_custkey + 1)", "CASE WHEN l.l_partkey % 2 = 0 THEN 250 ELSE 80 END",
+                " + CASE WHEN l.l_suppkey % 2 = 0 THEN INTERVAL '9' DAY ELSE INTERVAL '-4' DAY END")
+    + "WHERE l.l_linenumber = 3 AND l.l_orderkey % 4 < 2\n"
+)
+
 # Detail rows: one per finding copy, with evidence columns taken from the part table.
 DETAILS = """
 SELECT CAST(l.l_orderkey AS STRING) || '-' || CAST(l.l_linenumber AS STRING) AS findingId,
@@ -118,7 +131,7 @@ SHARED = {
                  vulnerabilityTypeId DESC, port DESC, cvssScore DESC NULLS LAST, cve DESC NULLS LAST,
                  description DESC, remediation DESC NULLS LAST, service DESC NULLS LAST, cisaKev DESC) AS rn
         FROM search) WHERE rn = 1""",
-    "findings": """SELECT findingId, findingName, status, vulnerabilityTypeId, hyScoreV2, cve, cvssScore, severity,
+    "findings": """SELECT findingId, findingName, status, vulnerabilityTypeId, hyScoreV2, cve, cvssScore, cvssVector, severity,
         description, remediation, port, protocol, service, provider, firstSeen, lastSeen, cisaKev
         FROM (SELECT *, row_number() OVER (PARTITION BY findingId ORDER BY lastSeen DESC NULLS LAST,
               hyScoreV2 DESC NULLS LAST, firstSeen DESC NULLS LAST, vulnerabilityTypeId DESC, port DESC,
@@ -127,24 +140,17 @@ SHARED = {
               FROM merged) WHERE rf = 1""",
     "instances": """SELECT a.assetId, a.hostname, a.assetHyScoreV2, a.ipAddress, a.assetOsPrimary, a.country,
         a.businessUnit, a.firstSeen AS assetFirstSeen, a.lastSeen AS assetLastSeen, m.findingId, f.findingName,
-        f.status, f.hyScoreV2, f.cve, f.cvssScore, f.severity, f.description, f.remediation, f.port, f.protocol,
+        f.status, f.hyScoreV2, f.cve, f.cvssScore, f.cvssVector, f.severity, f.description, f.remediation, f.port, f.protocol,
         f.service, f.provider, f.firstSeen, f.lastSeen, f.cisaKev
         FROM merged m JOIN assets a USING (assetId) JOIN findings f USING (findingId)""",
+    "facts": "SELECT m.assetId, m.hostname, f.* FROM merged m JOIN findings f USING (findingId)",
 }
-_NEEDS = {"merged": ("search",), "findings": ("merged",), "instances": ("assets", "findings")}
+_NEEDS = {"merged": ("search",), "findings": ("merged",), "instances": ("assets", "findings"), "facts": ("findings",)}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A driver table. One that Spark would read in fewer tasks than there are cores is dealt out before row work starts.
-
-    A Parquet row group is read by one task; a table of many files never takes this branch, nor does a tiny one.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SPREAD_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(2 * cores, *df.columns[:4])
-    return df
+    """A driver table as it is; how a file is split is the session's ``spark.sql.files`` settings."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def lens(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

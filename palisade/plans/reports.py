@@ -9,7 +9,7 @@ from palisade.operators import dashboard, digest, documents, gold, quality, sear
 from palisade.operators import intelligence as intel
 from palisade.operators.silver import bridge
 from palisade.plans.documents import _docs, bodies
-from palisade.plans.intelligence import _CX, component_rows, docs, findings, sql
+from palisade.plans.intelligence import _CF, _CX, component_rows, docs, findings, sql
 from palisade.plans.lens import AS_OF, lens, oracle, read
 from palisade.plans.registry import query
 from palisade.plans.scalar_rules import PRIORITY_SCORE_SQL
@@ -27,10 +27,10 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT 'first_after_last', findingId, NULL FROM fx WHERE firstSeen > lastSeen
   UNION ALL SELECT 'cve_not_consolidated', cve, assetId FROM (SELECT assetId, unnest(cves) AS cve FROM fx) WHERE cve LIKE '%7'
   UNION ALL SELECT 'unknown_action_finding', findingId || '-x', assetId FROM fx WHERE findingId LIKE '%9-3'
-  UNION ALL SELECT 'duplicate_component', "componentId", assetId FROM cx GROUP BY 2, 3 HAVING count(*) > 1
+  UNION ALL SELECT 'duplicate_component', "componentId", assetId FROM cf GROUP BY 2, 3 HAVING count(*) > 1
   UNION ALL SELECT 'scanner_not_in_sources', scanner, assetId FROM fx WHERE scanner = 'Microsoft Azure'
   UNION ALL SELECT 'asset_without_hostname', assetId, NULL FROM assets WHERE assetOsPrimary IS NULL
-  UNION ALL SELECT 'strict_missing_field', assetId, 'asset.business.owner' FROM assets WHERE businessUnit IS NULL)""", cx=_CX))
+  UNION ALL SELECT 'strict_missing_field', assetId, 'asset.business.owner' FROM assets WHERE businessUnit IS NULL)""", cx=_CX, cf=_CF))
 def _(spark, sf):
     # One fault is seeded for every rule; the clean tables are checked in the tests.
     found = findings(spark, sf)
@@ -44,7 +44,8 @@ def _(spark, sf):
     own = lens(spark, sf, "assets")
     assets = own.withColumn("hostname", F.when(c("assetOsPrimary").isNotNull(), c("hostname")))
     missing = own.where("businessUnit IS NULL").select("assetId", F.lit("asset.business.owner").alias("missing"))
-    return quality.context_violations(assets, seeded, known, refs, component_rows(spark, sf), names, missing)
+    return quality.context_violations(
+        assets, seeded, known, refs, intel.component_findings(component_rows(spark, sf), found), names, missing)
 
 
 @query("component_warnings", sql("""
@@ -244,7 +245,7 @@ SELECT findingId, {_SEV.format(t='hyScoreV2', c='cvssScore')} AS severity, {_AGE
   coalesce(nullif(remediation, ''), {_ACTION_CVE.format("nullif(cve, '')")}, 'Corriger ou désactiver le service ' || service
     || ' s’il n’est pas nécessaire, puis relancer un contrôle.', {_ACTION_ANY}) AS remediation,
   'TRS ' || CAST(CAST(round_even(coalesce(hyScoreV2, 0), 0) AS BIGINT) AS VARCHAR) || ' · CVSS ' || printf('%.1f', coalesce(cvssScore, 0.0))
-    || ' · exposition ' || CAST({_AGE.format('firstSeen')} AS VARCHAR) || ' j' AS "priorityReason" FROM merged""", "merged"))
+    || ' · exposition ' || CAST({_AGE.format('firstSeen')} AS VARCHAR) || ' j' AS "priorityReason" FROM facts""", "facts"))
 def _(spark, sf):
     return dashboard.enrich_findings(facts(spark, sf), AS_OF).select(
         "findingId", "severity", "ageDays", "staleDays", "priority", "priorityScore", "remediationSource", "remediation", "priorityReason")
@@ -257,7 +258,7 @@ _CVE_SUMMARY = """SELECT cve AS "cveId", count(DISTINCT assetId) AS "affectedAss
 
 
 def cve_summary(spark, sf):
-    return gold.cve_summary(lens(spark, sf, "assets"), facts(spark, sf), keys_from=lens(spark, sf, "search"))
+    return gold.cve_summary(lens(spark, sf, "assets"), facts(spark, sf))
 
 
 @query("cves_presented", oracle(f"""
@@ -273,7 +274,7 @@ def _(spark, sf):
 SELECT remediationKey, maxTrs, findingCount, cveCount, {_pri('maxTrs', 'maxCvss', 'false', '0')} AS priority,
   {_score('maxTrs', 'maxCvss', 'false', '0')} AS "priorityScore",
   'TRS max ' || CAST(CAST(round_even(coalesce(maxTrs, 0), 0) AS BIGINT) AS VARCHAR) || ' · CVSS max ' || printf('%.1f', coalesce(maxCvss, 0.0)) AS "priorityReason"
-FROM rs""", "merged", extra={"rs": REMEDIATION_SUMMARY_SQL}))
+FROM rs""", "facts", extra={"rs": REMEDIATION_SUMMARY_SQL}))
 def _(spark, sf):
     return dashboard.enrich_remediations(gold.remediation_summary(facts(spark, sf))).select(
         "remediationKey", "maxTrs", "findingCount", "cveCount", "priority", "priorityScore", "priorityReason")
@@ -349,7 +350,7 @@ def wide(spark, sf):
 
 
 def critical(spark, sf):
-    return gold.critical_findings(lens(spark, sf, "assets"), facts(spark, sf), keys_from=lens(spark, sf, "search"))
+    return gold.critical_findings(lens(spark, sf, "assets"), facts(spark, sf))
 
 
 _SCOPE = """assetId IN (SELECT assetId FROM wide WHERE contains(',' || "perimeterIds" || ',', ',per-2,')
@@ -402,7 +403,7 @@ SELECT a.assetId AS "serverId", f.findingId FROM summary a JOIN f ON f.assetId =
 UNION SELECT a.assetId, f.findingId FROM summary a JOIN f ON a.hostname = f.hostname""", "instances",
     extra={**_DASH, "f": """SELECT CASE WHEN port % 2 = 0 THEN assetId ELSE 'gone' END AS assetId, hostname, findingId FROM instances"""}))
 def _(spark, sf):
-    every = gold.hot_safe_join(facts(spark, sf).drop("hostname"), lens(spark, sf, "assets").select("assetId", "hostname"), ["assetId"])
+    every = facts(spark, sf).drop("hostname").join(lens(spark, sf, "assets").select("assetId", "hostname"), "assetId")
     moved = every.select(F.when(c("port") % 2 == 0, c("assetId")).otherwise("gone").alias("assetId"), "hostname", "findingId")
     return dashboard.server_findings(moved, summarised(spark, sf))
 
@@ -411,7 +412,7 @@ def _(spark, sf):
     oracle("""
 SELECT assetId, remediationKey, place, true AS direct FROM ranked WHERE place <= 5
 UNION ALL SELECT s.assetId, remediationKey, place, false FROM summary s, best WHERE place <= 5 AND s.assetId NOT IN (SELECT assetId FROM hits)
-""", "instances", "merged", extra={
+""", "instances", "facts", extra={
         "summary": _SUM, "crit": _CRIT, "rs": REMEDIATION_SUMMARY_SQL,
         "openings": "SELECT remediationKey, maxTrs, left(lower(remediation), 45) AS o FROM rs WHERE length(remediation) > 20",
         "texts": "SELECT DISTINCT assetId, lower(coalesce(remediation, '') || ' ' || coalesce(cve, '')) AS t FROM crit",
@@ -430,7 +431,7 @@ SELECT (SELECT count(*) FROM wide) AS assets, (SELECT count(*) FROM wide WHERE "
   (SELECT count(*) FROM wide WHERE ipAddress IS NULL) AS "assetsWithoutIp", (SELECT max("oldestFindingDays") FROM wide) AS "oldestFindingDays",
   (SELECT count(*) FROM crit) AS findings, (SELECT count(*) FROM cs) AS cves, (SELECT count(*) FROM cs WHERE "maxCvss" >= 9) AS "cvesCvss9",
   (SELECT count(*) FROM rs) AS actions, (SELECT count(*) FROM rs WHERE priority = 'P1') AS "p1Actions"
-""", "instances", "merged", extra={**_DASH, "crit": _CRIT, "cs": _CVE_SUMMARY, "rs": REMEDIATION_SUMMARY_SQL}))
+""", "instances", "facts", extra={**_DASH, "crit": _CRIT, "cs": _CVE_SUMMARY, "rs": REMEDIATION_SUMMARY_SQL}))
 def _(spark, sf):
     return dashboard.key_figures(
         wide(spark, sf), critical(spark, sf), cve_summary(spark, sf), gold.remediation_summary(facts(spark, sf)))
@@ -446,7 +447,7 @@ def _(spark, sf):
 
 
 @query("severity_distribution", oracle("""
-SELECT coalesce(nullif(severity, ''), 'Non classé') AS severity, count(*) AS findings FROM merged GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""", "merged"))
+SELECT coalesce(nullif(severity, ''), 'Non classé') AS severity, count(*) AS findings FROM facts GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5""", "facts"))
 def _(spark, sf):
     return dashboard.severity_distribution(facts(spark, sf))
 
@@ -497,7 +498,8 @@ def _(spark, sf):
 SELECT f.assetId, count(*) AS findings, count(*) FILTER (len(cves) > 0) AS "withCve", count(cvss) AS "withCvss",
   count(*) FILTER (f.firstSeen IS NOT NULL OR f.lastSeen IS NOT NULL) AS "withDates", count(recommendation) AS "withRemediation",
   count(*) FILTER (f.firstSeen IS NOT NULL OR f.lastSeen IS NOT NULL) AS "withHistory",
-  count(*) FILTER (affectedProduct IS NOT NULL OR detectedVersion IS NOT NULL OR targetVersion IS NOT NULL) AS "withComponents"
+  count(*) FILTER (affectedProduct IS NOT NULL OR detectedVersion IS NOT NULL OR targetVersion IS NOT NULL
+    OR findingId IN (SELECT findingId FROM docs WHERE component IS NOT NULL)) AS "withComponents"
 FROM fx f GROUP BY 1"""))
 def _(spark, sf):
     found = findings(spark, sf)

@@ -32,11 +32,15 @@ def test_first_per_key_cuts_before_the_exchange(spark):
     assert physical.index("Partial") > physical.index("Exchange")
 
 
-def test_ordinals_by_range_equal_the_window(spark):
+def test_ordinals_count_in_order_and_run_no_job_when_planned(spark):
     rows = spark.range(5000).select((F.col("id") % 3).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
-    by_window = skew.ordinals(rows, ["k"], ["t"]).collect()
-    by_range = skew.ordinals(rows, ["k"], ["t"], window_rows=10).collect()
-    assert sorted(map(tuple, by_window)) == sorted((r["k"], r["t"], r["ordinal"]) for r in by_range)
+    spark.sparkContext.setJobGroup("ordinals", "planning")
+    numbered = skew.ordinals(rows, ["k"], ["t"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ordinals")
+    by_key = {}
+    for r in sorted(numbered.collect(), key=lambda r: r["t"]):
+        by_key.setdefault(r["k"], []).append(r["ordinal"])
+    assert all(own == list(range(1, len(own) + 1)) for own in by_key.values())
 
 
 def test_listed_splits_large_keys_and_keeps_everything(spark):
