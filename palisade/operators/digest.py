@@ -53,11 +53,13 @@ def path_lists(leaves: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def history_lines(findings: DataFrame, observations: DataFrame, rows: int = 20, lines: int = 12) -> DataFrame:
-    """At most twelve lines per finding from its first twenty observations, else its two bounds.
+    """At most twelve lines per finding from the dated ones of its first twenty observations, else its two bounds.
 
     ``observations`` has findingId, observedAt, eventId, detected, label.
     """
-    first = top_per_key(observations, ["findingId"], [F.col("observedAt"), F.col("eventId")], min(rows, lines), "line")
+    looked_at = top_per_key(observations, ["findingId"], [F.col("observedAt"), F.col("eventId")], rows, "_place")
+    dated = looked_at.where(F.col("observedAt").isNotNull())
+    first = top_per_key(dated, ["findingId"], [F.col("_place")], lines, "line")
     seen = first.select(
         "findingId", "line", F.concat_ws(" | ", iso_utc(F.col("observedAt")), "label",
                                          F.when(F.col("detected"), "detected").otherwise("not detected")).alias("text"))

@@ -89,16 +89,10 @@ def _steps(value, path: str = ""):
         yield from _steps(child, step)
 
 
-def _texts(value):
-    """Trimmed texts; an object's own text before those of its other fields."""
-    if isinstance(value, dict):
-        own = value.get("text")
-        if isinstance(own, str) and own.strip():
-            yield own.strip()
-        value = [child for name, child in value.items() if name != "text"]
-    if isinstance(value, list):
-        for child in value:
-            yield from _texts(child)
+def _texts(value) -> list[str]:
+    """The trimmed own text of every object, objects in document order; what hangs below a text is no object of its own."""
+    objects = (node for path, _, node in [("", None, value), *_steps(value)] if isinstance(node, dict) and not BELOW_TEXT.search(path))
+    return [own for node in objects if isinstance(node.get("text"), str) and (own := node["text"].strip())]
 
 
 def _plain(value) -> str:
@@ -137,6 +131,7 @@ def _entry(index: int, info: dict) -> dict:
     }
 
 
+BELOW_TEXT = re.compile(r"\.text(?=[.\[]|$)")
 CVE_WORD = re.compile(fixed.CVE_WORD.replace("(?U)", "(?i)"))
 SPELLINGS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names)
 _TEXT, _TEXTS = pa.string(), pa.list_(pa.string())
@@ -156,7 +151,9 @@ WALKED = pa.struct([
 def _walk(text: str | None) -> dict | None:
     try:
         document = json.loads(text)
-    except (TypeError, ValueError):
+        # A lone half of a surrogate pair is no text that a table can hold, and nesting beyond the parser's depth no document.
+        json.dumps(document, ensure_ascii=False).encode()
+    except (TypeError, ValueError, RecursionError):
         return None
     data = document.get("data") if isinstance(document, dict) else None
     data = data if isinstance(data, dict) else {}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,12 +42,30 @@ def local_session(cpus: int | str = "*", app: str = "palisade", shuffle_partitio
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session that somebody else created."""
+    """Apply the runtime settings to a session that somebody else created, and give its Python workers this package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    _ship(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Once per application: the package as a zip file, so that workers import it wherever the driver was started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="palisade-")) / "palisade.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
