@@ -5,9 +5,9 @@ leading-zero count plus mantissa bits. Empty buckets borrow from others by a fix
 the candidate groups. Documents of equal shingle sets are first merged into classes, so exact copies never meet in a group.
 
 A group is linked through its smallest member (a star), never as all pairs: the collision-corrected estimate drops what is far
-off, the rest is confirmed on the full sets. Members that stay apart from the star are then compared with the members of other
-components in their groups, so that no link between two different sets of one group is lost. Components are min-label
-propagation over the confirmed links.
+off, the rest is confirmed on the full sets. Members that stay apart are compared with one more member drawn from their groups;
+the few that then still are in another component are compared with all members of the components they meet: pair by pair with
+small ones, block by block on full sets with large ones. So no link between two different sets of one group is lost. Components are min-label propagation over the confirmed links.
 
 Defined cases: null and empty texts have no shingles and stay alone; repeated rows belong to one class; a null id gets the
 class's component and is not kept; extra columns are ignored; no documents give no rows.
@@ -19,14 +19,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm.common import small_side
 from palisade.llm.hashing import mixed, shingle_sets
+from palisade.operators.skew import hot_safe_join
 from palisade.session import written
 
 BUCKETS, BANDS, MANTISSA = 128, 32, 10
+# Rounds in which members that are still apart meet one drawn member of each of their groups.
+DRAWS = 1
+# Components of so many members are asked as a whole, in blocks of so many documents on either side.
+LARGE, BLOCK = 16, 256
+# Set sizes are told apart by powers of two for the chance of agreement.
+GRADES = 21
 PERCENT = 80
 # The estimate may fall so far below the threshold (four standard deviations of 128 registers) before a pair is dropped.
 MARGIN = 0.15
@@ -72,9 +79,9 @@ def registers(hashes: np.ndarray) -> np.ndarray:
 
 
 def _collisions() -> np.ndarray:
-    """Chance that registers of two unrelated sets agree, by the log2 of hashes per bucket of either (0 to 20)."""
+    """Chance that registers of two unrelated sets agree, by the log2 of hashes per bucket of either."""
     edges = np.concatenate([[0.0], *[2.0 ** -(z + 1) * (1 + np.arange(1 << MANTISSA) / (1 << MANTISSA)) for z in range(24, -1, -1)], [1.0]])
-    alive = [np.exp(2.0**k * np.log1p(-np.minimum(edges, 1 - 1e-12))) for k in range(21)]
+    alive = [np.exp(2.0**k * np.log1p(-np.minimum(edges, 1 - 1e-12))) for k in range(GRADES)]
     cells = np.array([a[:-1] - a[1:] for a in alive])
     return cells @ cells.T
 
@@ -82,12 +89,20 @@ def _collisions() -> np.ndarray:
 _CHANCE = _collisions()
 
 
-def estimated(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Collision-corrected Jaccard estimates of rows of registers with their set sizes."""
-    same = (a == b).mean(axis=1)
-    grade = [np.clip(np.rint(np.log2(np.maximum(1, n / BUCKETS))), 0, 20).astype(int) for n in (na, nb)]
-    chance = _CHANCE[grade[0], grade[1]]
-    return (same - chance) / (1 - chance)
+def estimated(ra: Column, rb: Column, na: Column, nb: Column) -> Column:
+    """Collision-corrected Jaccard estimate from two arrays of bands and the set sizes."""
+    lane = lambda z, k: F.when(F.shiftrightunsigned(z, 16 * k).bitwiseAND(F.lit(0xFFFF)) == 0, 1).otherwise(0)
+    agree = F.aggregate(F.zip_with(ra, rb, lambda x, y: x.bitwiseXOR(y)), F.lit(0),
+                        lambda n, z: n + lane(z, 0) + lane(z, 1) + lane(z, 2) + lane(z, 3))
+    grade = lambda n: F.least(F.lit(GRADES - 1), F.greatest(F.lit(0), F.round(F.log2(n / BUCKETS)).cast("int")))
+    chance = F.element_at(F.array(*[F.lit(float(c)) for c in _CHANCE.ravel()]), grade(na) * GRADES + grade(nb) + 1)
+    return (agree / BUCKETS - chance) / (1 - chance)
+
+
+def _likely(ra: Column, rb: Column, na: Column, nb: Column, percent: int) -> Column:
+    """Whether sizes and corrected estimate allow ``percent``. Small sets have no estimate."""
+    sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
+    return sizes & F.when(F.least(na, nb) < ESTIMATE_FROM, True).otherwise(estimated(ra, rb, na, nb) >= percent / 100 - MARGIN)
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
@@ -113,20 +128,8 @@ def _close(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sizes and corrected estimate allow ``percent``."""
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bands").alias("ra"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bands").alias("rb"))
-    both = pairs.join(left, "a").join(right, "b").where(
-        100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-            regs = [np.array(batch.column(c).to_pylist(), dtype="<i8").view("<u2").reshape(len(na), BUCKETS) for c in ("ra", "rb")]
-            likely = estimated(*regs, na, nb) >= percent / 100 - MARGIN
-            passed = likely | (np.minimum(na, nb) < ESTIMATE_FROM)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(passed))
-
-    return both.mapInArrow(kept, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b")
+    return both.where(_likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -159,7 +162,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
     shipped = texts.select("doc_id", "text", "to", "own").mapInArrow(sets, "b long, a long, hashes binary")
     ends_ = shipped.where("a is null").dropDuplicates(["b"]).select("b", F.col("hashes").alias("theirs"))
-    meet = shipped.where("a is not null").join(ends_, "b")
+    meet = hot_safe_join(shipped.where("a is not null"), ends_, ["b"], keys_from=pairs)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,6 +176,65 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
     return written(meet.select("a", "b", "hashes", "theirs").mapInArrow(compared, "a long, b long").distinct(), "links")
 
 
+def _split(apart: DataFrame, label: DataFrame) -> DataFrame:
+    """(band, key, rep, comp) of the groups that hold several components."""
+    labelled = apart.select("band", "key", "rep").join(label, "rep", "left").select("band", "key", "rep", F.coalesce("comp", "rep").alias("comp"))
+    split = labelled.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "key")
+    return written(labelled.join(split, ["band", "key"], "left_semi"), "apart")
+
+
+def _asked(asked: DataFrame, label: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) of documents a with a member b of the component that each is asked against, one for each block at most.
+
+    ``asked``: (a, comp), written. Members and asking documents are dealt into blocks; every pair of blocks is one group of
+    bounded size, in which full sets are compared.
+    """
+    members = label.join(asked.select("comp").distinct(), "comp", "left_semi")
+    blocks = lambda rows, name: rows.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    dealt = blocks(members, "blocks").join(blocks(asked, "loads"), "comp")
+    deal = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    theirs = members.join(dealt, "comp").select(F.col("rep").alias("doc_id"), F.transform(
+        F.sequence(F.lit(0), F.col("loads") - 1), lambda k: F.struct(F.col("comp"), deal("rep", "blocks").alias("block"), k.alias("load"), F.lit(False).alias("asks"))).alias("to"))
+    ours = asked.join(dealt, "comp").select(F.col("a").alias("doc_id"), F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.col("comp"), k.alias("block"), deal("a", "loads").alias("load"), F.lit(True).alias("asks"))).alias("to"))
+    wanted = written(theirs.union(ours).groupBy("doc_id").agg(F.flatten(F.collect_list("to")).alias("to")), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(small_side(wanted, PAIR_ROWS), "doc_id")
+    kinds = {"comp": pa.int64(), "block": pa.int32(), "load": pa.int32(), "asks": pa.bool_(), "doc_id": pa.int64(), "hashes": pa.binary()}
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, to = batch.column("doc_id").to_pylist(), batch.column("to").to_pylist()
+            for doc_id, places, found in zip(ids, to, shingle_sets(batch.column("text"), shingle, lower=True), strict=True):
+                data = found.tobytes()
+                for at in range(0, len(places), 64):
+                    rows = [{**p, "doc_id": doc_id, "hashes": data} for p in places[at : at + 64]]
+                    yield pa.RecordBatch.from_pylist(rows, pa.schema(list(kinds.items())))
+
+    def compared(group: pa.Table) -> pa.Table:
+        rows = {d: (asks, h) for d, asks, h in zip(*(group[c].to_pylist() for c in ("doc_id", "asks", "hashes")), strict=True)}
+        own = [(d, np.frombuffer(h, dtype=np.uint64)) for d, (asks, h) in sorted(rows.items()) if not asks]
+        found = []
+        if own:
+            sizes = np.array([len(h) for _, h in own])
+            values = np.concatenate([h for _, h in own])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], np.repeat(np.arange(len(own)), sizes)[order]
+            for d, (asks, h) in sorted(rows.items()):
+                if not asks:
+                    continue
+                mine = np.frombuffer(h, dtype=np.uint64)
+                lo, hi = np.searchsorted(values, mine, "left"), np.searchsorted(values, mine, "right")
+                hits = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum())
+                both = np.bincount(owner[hits], minlength=len(own))
+                linked = np.flatnonzero(100 * both >= percent * (sizes + len(mine) - both))
+                if len(linked):
+                    found.append((max(d, own[linked[0]][0]), min(d, own[linked[0]][0])))
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    rows = texts.select("doc_id", "text", "to").mapInArrow(sets, "comp long, block int, load int, asks boolean, doc_id long, hashes binary")
+    return written(rows.groupBy("comp", "block", "load").applyInArrow(compared, "a long, b long").distinct(), "links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(rep, comp): for every linked id the smallest id it reaches, by min-label propagation with shortcuts."""
     both = written(links.select("a", "b").union(links.select("b", "a")), "edges")
@@ -192,7 +254,7 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, class_id (smallest id of equal sets) and component_id."""
     signed = signatures(docs, shingle)
-    classes = written(signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "bands")).alias("m")).select(
+    classes = written(signed.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "bands"))).alias("m")).select(
         "h1", "h2", "n", F.col("m.doc_id").alias("rep"), F.col("m.bands").alias("bands")), "classes")
     reps = classes.where("rep is not null").select("rep", "n", "bands")
     placed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
@@ -203,15 +265,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -
     stars = grouped.where("rep <> center").select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
     tried = written(_close(stars, reps, percent), "stars")
     links = _confirmed(tried, docs, shingle, percent)
-    # Members of one group that are still apart: compare across components, never within one.
-    apart = grouped.join(components(links), "rep", "left").select("rep", "band", "key", F.coalesce("comp", "rep").alias("comp"))
-    split = apart.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band", "key")
-    apart = written(apart.join(split, ["band", "key"], "left_semi"), "apart")
-    x = apart.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    y = apart.select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    cross = x.join(y, ["band", "key"]).where("a > b and ca <> cb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _confirmed(written(_close(cross, reps, percent), "cross"), docs, shingle, percent)
-    joined = components(links.union(more))
+
+    # Members that are still apart meet one more member of each group, drawn anew.
+    apart = grouped.select("band", "key", "rep")
+    for draw in range(DRAWS):
+        apart = _split(apart, components(links))
+        partner = F.min_by(F.struct(F.col("rep").alias("other"), F.col("comp").alias("other_comp")), F.xxhash64("rep", "band", F.lit(draw)))
+        met = apart.join(apart.groupBy("band", "key").agg(partner.alias("p")).select("band", "key", "p.*"), ["band", "key"])
+        pairs = met.where("comp <> other_comp").select(F.greatest("rep", "other").alias("a"), F.least("rep", "other").alias("b")).distinct()
+        pairs = written(_close(pairs.join(tried, ["a", "b"], "left_anti"), reps, percent), "pairs")
+        links = written(links.union(_confirmed(pairs, docs, shingle, percent)), "links")
+        tried = tried.union(pairs)
+
+    # What is apart then: small components pair by pair, each document against a large component as a whole.
+    label = written(components(links), "labels")
+    sizes = label.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
+    apart = written(_split(apart, label).join(sizes, "comp", "left").fillna(1, ["size"]).join(reps, "rep"), "apart")
+    small, large = apart.where(F.col("size") < LARGE), apart.where(F.col("size") >= LARGE)
+    y = small.select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("bands").alias("rb"))
+    x = small.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("bands").alias("ra"))
+    likely = _likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), percent)
+    near = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & likely)
+    near = written(near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    whole = large.select("band", "key", F.col("comp").alias("whole"), F.col("size").alias("of")).distinct()
+    lower = F.struct("size", "comp") < F.struct("of", "whole")
+    asked = apart.join(whole, ["band", "key"]).where(lower).select(F.col("rep").alias("a"), F.col("whole").alias("comp")).distinct()
+    links = links.union(_confirmed(near, docs, shingle, percent)).union(_asked(written(asked, "asked"), label, docs, shingle, percent))
+    joined = components(links)
 
     of_class = classes.join(joined, "rep", "left").select("h1", "h2", "n", "rep", F.coalesce("comp", "rep").alias("comp"))
     return signed.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left").select(

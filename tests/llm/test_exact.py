@@ -115,20 +115,43 @@ def test_one_of_each(docs, no_docs, corpus):
     assert near_dedup.one_of_each(no_docs).count() == 0
 
 
-def test_estimate_and_registers():
+def test_estimate_and_registers(spark):
     import numpy as np
+    from pyspark.sql import functions as F
 
     rng = np.random.default_rng(0)
     every = np.sort(rng.integers(0, 2**63, 3000, dtype=np.uint64) * np.uint64(2))
     for share in (0.5, 0.8, 0.95):
         cut = int(2000 * (1 - share) / (1 + share))
         a, b = every[:2000], every[cut : 2000 + cut]
-        real = (2000 - cut) / (2000 + cut)
-        regs = [near_dedup.registers(x)[None] for x in (a, b)]
-        assert abs(near_dedup.estimated(*regs, np.array([2000]), np.array([2000]))[0] - real) < 0.16
+        regs = [near_dedup.registers(x).view("<i8").tolist() for x in (a, b)]
+        frame = spark.createDataFrame([(*regs, 2000)], "ra array<long>, rb array<long>, n long")
+        found = frame.select(near_dedup.estimated(F.col("ra"), F.col("rb"), F.col("n"), F.col("n"))).first()[0]
+        assert abs(found - (2000 - cut) / (2000 + cut)) < 0.16
     assert len(set(near_dedup.registers(every[:1]).tolist())) == 1
 
 
+def test_near_copies_of_one_base_in_large_components(spark, monkeypatch):
+    """A chain of copies around one base, with strays that link to one member only: blocks of two documents, no draws."""
+    rng = random.Random(8)
+    base = sentence(rng, 150).split()
+
+    def edited(words, n):
+        words = list(words)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = rng.choice("abcdefghij") * 3
+        return words
+
+    texts = [edited(base, rng.randint(0, 9)) for _ in range(40)]
+    texts += [edited(rng.choice(texts), 7) for _ in range(40)]
+    docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 2)
+    monkeypatch.setattr(near_dedup, "LARGE", 4)
+    monkeypatch.setattr(near_dedup, "DRAWS", 0)
+    found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=2)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect()) == Counter(brute.near_rows(docs))
+
+
 def packed_ok(found, corpus, capacity):
     """Pieces cover their documents, sequences are gapless and within capacity."""
     cache = packing.WordCache()
