@@ -109,7 +109,7 @@ def _(spark, sf):
                                   intel.concentration(found), intel.completeness(found))
     blocks = context.context_blocks({"findings": found.drop("riskDrivers"), "scan_history": intel.scan_history(found)})
     path = new_folder(spark, "documents")
-    sinks.write_documents(heads, blocks, path, buckets=16)
+    sinks.write_documents(heads, blocks, path, buckets=16, files=2)
     back = spark.read.schema("assetId string, section string, itemsJson string, bucket int").json(path)
     return back.groupBy("section").agg(F.count_distinct("assetId").alias("assets"))
 

@@ -36,11 +36,13 @@ def discover(spark: SparkSession, root: str, suffix: str = "parquet", excluded:
 
 
 def catalog(spark: SparkSession, root: str) -> DataFrame:
-    """Name, format, layer, size, rows and fields of every data file below a folder.
+    """Name, format, layer, size, rows and fields of every dataset below a folder: a file, or a folder of part files.
 
-    Schemas and row counts come from the file footers; the loop is over datasets, not over rows.
+    Schemas and row counts come from the file footers; the loop is over datasets, not over their files or rows.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    parts = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length")
+    folder = F.regexp_extract("path", r"^(.*\.parquet)/[^/]+$", 1)
+    files = parts.groupBy(F.coalesce(F.nullif(folder, F.lit("")), F.col("path")).alias("path")).agg(F.sum("length").alias("length"))
     suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
     lowered, layer = F.lower("path"), None
     for name in LAYERS:
