@@ -57,12 +57,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
-@query("op4_trigram_secret_scan")
+@query("op4_trigram_secret_scan", secret_scan.oracle_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.secrets(table(spark, sf_dir, "documents")))
 
 
-@query("op5_substring_dedup")
+@query("op5_substring_dedup", substring_dedup.ORACLE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicated(table(spark, sf_dir, "documents")).drop("kept")
 

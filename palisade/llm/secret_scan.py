@@ -207,3 +207,30 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select(
         F.col("doc_id").cast("long").alias("doc_id"), n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
         F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
+def oracle_sql() -> str:
+    """The contract in SQL. Places follow from the pieces between matches; runs of one class are asked for with their length."""
+    parts = []
+    for r in rules():
+        pattern = {"hex": "[0-9a-f]{24,}", "access": "AKIA[A-Z0-9]{16,}"}.get(r.kind, r.pattern).replace("'", "''")
+        parts.append(f"""SELECT doc_id, {r.place} AS place, '{r.kind}' AS kind, {r.least} AS least, f, string_split_regex(text, '{pattern}') AS g,
+      regexp_extract_all(text, '{pattern}', {r.group}) AS c
+    FROM (SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS f FROM documents) WHERE len(f) > 0""")
+    found = " UNION ALL ".join(parts)
+    return f"""
+WITH found AS ({found}),
+each AS (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM found),
+placed AS (
+  SELECT doc_id, place, kind, length(f[i]) AS n, length(c[i]) AS counted, least,
+    list_sum(list_transform(g[1 : i], lambda x: length(x))) + coalesce(list_sum(list_transform(f[1 : i - 1], lambda x: length(x))), 0) AS s
+  FROM each),
+span AS (SELECT doc_id, place, s, kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS said FROM placed WHERE counted >= least),
+own AS (
+  SELECT doc_id, count(*) FILTER (place = 0) AS a, count(*) FILTER (place = 1) AS k, count(*) FILTER (place = 2) AS h,
+    string_agg(said, ',' ORDER BY s, place) FILTER (place < {len(BASE)}) AS base, string_agg(said, ',' ORDER BY s, place) AS spans
+  FROM span GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN own ON d.doc_id = own.doc_id
+"""

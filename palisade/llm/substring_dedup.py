@@ -272,3 +272,20 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Dat
 
     schema = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
     return touched.mapInArrow(kept, schema).union(clean.mapInArrow(kept, schema))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+first AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM win JOIN first USING (h) WHERE m < doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+word AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS k FROM d WHERE len(w) > 0),
+kept AS (
+  SELECT doc_id, string_agg(t, ' ' ORDER BY k) AS t
+  FROM word LEFT JOIN (SELECT doc_id, k, true AS out FROM gone) USING (doc_id, k) WHERE out IS NULL GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN kept ON d.doc_id = kept.doc_id
+"""
