@@ -2,7 +2,8 @@
 
 Tokenizing is narrow (one Arrow function); only lengths travel. Pieces are dealt over groups of bounded size. In a group a
 fixed number of bins is open; the open bins hang on their free space, and a bitset of the free spaces that occur finds the
-tightest fit in one step. When one more bin must open, the fullest closes. Bins left open at the end of a group are packed
+tightest fit in one step. When one more bin must open, the fullest closes. Pieces come through a buffer of bounded length that
+hands them on longest first. Bins left open at the end of a group are packed
 once more, as whole bundles, across groups.
 
 Words are looked up in a bounded cache of pre-tokens, filled by the vocabulary's ranks; texts beyond Latin-1 go to the
@@ -32,6 +33,7 @@ from palisade.session import written
 CAPACITY = 2048
 END_ID = 0
 OPEN_BINS = 1024
+BUFFER = 4096
 # A group holds about so many tokens and rows; what one task packs is bounded by it.
 GROUP_TOKENS = 16_000_000
 GROUP_ROWS = 100_000
@@ -165,6 +167,8 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
 
     def packed(group: pa.Table) -> pa.Table:
         group = group.sort_by([(c, "ascending") for c in ("deal", "doc_id", "piece", "ids_crc32")])
+        length, at = group["length"].to_numpy(), np.arange(len(group))
+        group = group.take(pa.array(np.lexsort((at, -length, at // BUFFER))))
         bins, places, left = best_fit(group["length"].to_pylist(), capacity, open_bins)
         ids = np.asarray(bins, dtype=np.int64)
         top = group["grp"][0].as_py() << 32 if len(ids) else 0
