@@ -11,8 +11,8 @@ CHUNK_BYTES = 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20240601))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C13
-_INVERSE = pow(_BASE, -1, 2**64)
+BASE = 0x9E3779B97F4A7C13
+INVERSE = pow(BASE, -1, 2**64)
 _K1, _K2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -20,18 +20,18 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
-_powers: dict[int, np.ndarray] = {}
+_kept: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     """base ** 0 .. n-1 modulo 2 ** 64."""
-    have = _powers.get(base)
+    have = _kept.get(base)
     if have is None or len(have) < n:
         row = np.full(max(n, CHUNK_BYTES + 1), base, dtype=np.uint64)
         row[0] = 1
         have = np.multiply.accumulate(row)
         if n <= 2 * CHUNK_BYTES:
-            _powers[base] = have
+            _kept[base] = have
     return have[:n]
 
 
@@ -62,8 +62,8 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.n
     last = np.flatnonzero(inside & (~after | cut[1:])) + 1
     row = np.empty(n + 1, dtype=np.uint64)
     row[0] = 0
-    np.cumsum(_BYTE[_LOWER[data] if lower else data] * _power(_BASE, n), out=row[1:])
-    hashes = mixed((row[last] - row[first]) * _power(_INVERSE, n)[first])
+    np.cumsum(_BYTE[_LOWER[data] if lower else data] * power(BASE, n), out=row[1:])
+    hashes = mixed((row[last] - row[first]) * power(INVERSE, n)[first])
     return hashes, first, last, np.searchsorted(first, starts)
 
 
@@ -89,7 +89,7 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     m = min(n, len(words))
     out = np.full(len(words) - m + 1, np.uint64(m))
     for k in range(m):
-        out = mixed(out * np.uint64(_BASE) + words[k : len(words) - m + k + 1])
+        out = mixed(out * np.uint64(BASE) + words[k : len(words) - m + k + 1])
     return out
 
 

@@ -44,7 +44,6 @@ PAIR_ROWS = 200_000
 KEY_ROWS = 1_000_000
 
 _REST = np.uint64(64 - 7)
-_STARTS = np.arange(BUCKETS + 1, dtype=object) << 57
 
 
 def _probes() -> np.ndarray:

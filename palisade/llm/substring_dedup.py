@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palisade.llm.common import small_side
-from palisade.llm.hashing import _BASE, _INVERSE, _power, mixed, text_chunks, word_hashes
+from palisade.llm.hashing import BASE, INVERSE, mixed, power, text_chunks, word_hashes
 from palisade.session import written
 
 WINDOW, GRAM = 50, 25
@@ -41,12 +41,12 @@ EVERY = 2**31 - 1
 
 def runs(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Hashes of the word runs [start, end); ``rows`` are the prefix sums of the words' hashes."""
-    return mixed((rows[ends] - rows[starts]) * _power(_INVERSE, len(hashes) + 1)[starts] + (ends - starts).astype(np.uint64))
+    return mixed((rows[ends] - rows[starts]) * power(INVERSE, len(hashes) + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 def prefix(hashes: np.ndarray) -> np.ndarray:
     rows = np.zeros(len(hashes) + 1, dtype=np.uint64)
-    np.cumsum(hashes * _power(_BASE, len(hashes)), out=rows[1:])
+    np.cumsum(hashes * power(BASE, len(hashes)), out=rows[1:])
     return rows
 
 
