@@ -5,8 +5,11 @@ their generalised path of tags and classes, for their host; the votes are summed
 its host's winning paths, strongest first; a page that has none of them, or less than half of its own best container's text
 there, falls back on its own best container.
 
-Text is read in blocks: block-level tags and line breaks end a block, inline tags don't. Furniture is left out by tag, role,
-and words in class and id: menus, headers (headings inside an article stay), footers, sidebars, notices, adverts, forms, scripts, styles, comments.
+Text is read in blocks: block-level tags and line breaks end a block, inline tags don't. Furniture is left out by tag and role:
+menus, headers (headings inside an article stay), footers, adverts, forms, scripts, styles, comments. Words of furniture in class
+and id are a suspicion only, judged when the page is read: the element goes if it holds no article, main or content-marked
+container and not most of the page's text; else its text stays and counts against the containers around it. A page that has text
+outside furniture tags never ends empty.
 
 Defined cases: null and empty html give an empty text; unclosed, crossed and unknown tags never fail; pages without host vote
 among themselves; repeated rows give repeated results; extra columns are ignored; no pages give no rows.
@@ -56,6 +59,8 @@ FURNITURE = frozenset(
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
              "option": ("option",), "p": ("p",)}
 CONTENT = frozenset("article content post story entry main text body".split())
+# A suspect with most of the page's text counts as furniture beside marked content that holds at least this part of its size.
+APART = 8
 
 _DIGITS = re.compile(r"\d+")
 _WORDS = re.compile(r"[^a-z]+")
@@ -63,18 +68,24 @@ _WORDS = re.compile(r"[^a-z]+")
 
 @dataclass
 class Page:
-    """Containers in page order with parent, path and kind, and the kept texts: (block, container, text)."""
+    """Containers in page order with parent, path and kind, and the kept texts: (block, container, text).
+
+    ``weight`` is what a container's text counts for the containers around it; suspects are named as furniture by class or id.
+    """
 
     parents: list[int] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
     bonus: list[float] = field(default_factory=list)
+    weight: list[float] = field(default_factory=list)
+    content: list[bool] = field(default_factory=list)
+    suspects: list[int] = field(default_factory=list)
     kept: list[tuple[int, int, str]] = field(default_factory=list)
     lost: Counter = field(default_factory=Counter)
     linked: Counter = field(default_factory=Counter)
 
 
 def parse(source: str) -> Page:
-    page = Page([-1], [""], [0.0])
+    page = Page([-1], [""], [0.0], [1.0], [False])
     stack: list[tuple[str, int, bool]] = []  # tag, container, whether it is dropped
     opened: Counter = Counter()
     here, block, dropped = 0, 0, 0
@@ -137,29 +148,82 @@ def parse(source: str) -> Page:
         elif tag in BLOCKS:
             close(("p",), False)
         said = {k.lower(): a or b or c for k, a, b, c in ATTR.findall(m["attrs"])} if m["attrs"] else {}
-        marks = set(_WORDS.split(f"{said.get('class', '')} {said.get('id', '')}".lower()))
+        names = f"{said.get('class', '')} {said.get('id', '')}".lower()
+        marks = set(_WORDS.split(names))
         drop = tag in DROPPED or said.get("role", "").lower() in ROLES or said.get("aria-hidden") == "true"
-        drop = drop or (tag not in ("html", "body", "article", "main") and not marks.isdisjoint(FURNITURE))
         drop = drop or "display:none" in said.get("style", "").replace(" ", "").lower() or bool(re.search(r"(?<![\w-])hidden(?![\w-])(?!\s*=)", ATTR.sub("", m["attrs"])))
         if tag == "header":
             drop = not (opened["article"] or opened["main"])
         elif opened["header"] and (opened["article"] or opened["main"]) and not dropped and tag in BLOCKS and tag not in CONTAINERS:
             drop = drop or not (tag[0] == "h" and tag[1:].isdigit())
+        suspect = tag not in ("html", "body", "article", "main", "header") and not marks.isdisjoint(FURNITURE) and not _is_content(names)
         container = -1
-        if tag in CONTAINERS:
+        if tag in CONTAINERS or suspect:
             classes = ".".join(sorted(_DIGITS.sub("#", c) for c in said.get("class", "").lower().split()))
             step = f"{tag}.{classes}" if classes else tag
             container = len(page.paths)
             page.parents.append(here)
             page.paths.append(">".join([*page.paths[here].split(">"), step][-PATH_STEPS:]))
-            page.bonus.append(0.2 if tag in ("article", "main") or said.get("role", "") in ("main", "article") else 0.1 if marks & CONTENT else 0.0)
+            page.bonus.append(0.2 if tag in ("article", "main") or said.get("role", "") in ("main", "article") else 0.1 if marks & CONTENT and not suspect else 0.0)
+            page.weight.append(1.0)
+            page.content.append(page.bonus[-1] > 0 and (marks.isdisjoint(FURNITURE) or _is_content(names)))
+            if suspect:
+                page.suspects.append(container)
             here = container
         stack.append((tag, container, bool(drop)))
         opened[tag] += 1
         dropped += bool(drop)
+    if page.suspects:
+        _judge(page)
     return page
 
 
+def _is_content(names: str) -> bool:
+    """Whether one of the names says content and nothing of furniture, as in class="post social-science"."""
+    words = [set(_WORDS.split(name)) for name in names.split()]
+    return any(w & CONTENT and w.isdisjoint(FURNITURE) for w in words)
+
+
+def _judge(page: Page) -> None:
+    """Drops the suspects that hold neither content nor most of the text around them; the text of the others stays, with a weight."""
+    n = len(page.paths)
+    size, clear = [0] * n, [0] * n
+    suspects, inside, base = set(page.suspects), [False] * n, [0] * n
+    for c in range(1, n):
+        up = page.parents[c]
+        inside[c] = c in suspects or inside[up]
+        base[c] = up if page.content[up] else base[up]
+    for _, c, text in page.kept:
+        size[c] += len(text.strip())
+        clear[c] += 0 if inside[c] else len(text.strip())
+    holds = [False] * n
+    for c in range(n - 1, 0, -1):
+        up = page.parents[c]
+        size[up] += size[c]
+        clear[up] += clear[c]
+        holds[up] = holds[up] or holds[c] or (page.content[c] and size[c] > 0)
+    apart = max((clear[c] for c in range(1, n) if page.content[c]), default=0)
+    gone = [False] * n
+    for c in range(1, n):
+        gone[c] = gone[page.parents[c]]
+        if c in suspects and not gone[c]:
+            most = 2 * size[c] > size[base[c]]
+            if most and (base[c] or APART * apart < size[c]):
+                page.weight[c] = 0.5
+            elif most or holds[c]:
+                page.weight[c] = -1.0
+            else:
+                gone[c] = True
+    if all(gone[c] for _, c, text in page.kept if text.strip()):
+        # All text of the page lies in suspects of which none stands out: none counts.
+        gone = [False] * n
+    for _, c, text in page.kept:
+        if gone[c]:
+            page.lost[c] += len(text.strip())
+    page.kept = [k for k in page.kept if not gone[k[1]]]
+    page.linked = Counter({c: size for c, size in page.linked.items() if not gone[c]})
+
+
 def totals(page: Page) -> list[tuple[int, int, int]]:
     """(kept, furniture, linked) characters of every container with all that is inside."""
     kept = [0] * len(page.paths)
@@ -176,10 +240,26 @@ def totals(page: Page) -> list[tuple[int, int, int]]:
     return list(zip(kept, lost, linked, strict=True))
 
 
+def counted(page: Page, sums: list[tuple[int, int, int]]) -> list[float]:
+    """The kept characters of every container, those in suspects by weight."""
+    if not page.suspects:
+        return [k for k, _, _ in sums]
+    own = [float(k) for k, _, _ in sums]
+    for c in range(len(own) - 1, 0, -1):
+        if page.weight[c] != 1:
+            # What hangs in ``c`` counts as a whole, whatever it holds.
+            change = page.weight[c] * sums[c][0] - own[c]
+            while c >= 0:
+                own[c] += change
+                c = page.parents[c]
+    return own
+
+
 def ranked(page: Page) -> list[tuple[float, int]]:
-    """(score, container), best first: kept text counts, furniture and links count against; the inner one wins a tie."""
+    """(score, container), best first: kept text counts, furniture, links and named suspects count against; the inner one wins a tie."""
     sums = totals(page)
-    scores = [(k * (1 + b) - 2 * a - 2 * x, c) for c, ((k, a, x), b) in enumerate(zip(sums, page.bonus, strict=True)) if k]
+    scores = [(w * (1 + b) - 2 * a - 2 * x, c)
+              for c, ((k, a, x), w, b) in enumerate(zip(sums, counted(page, sums), page.bonus, strict=True)) if k]
     return sorted(scores, key=lambda s: (-s[0], -s[1]))
 
 

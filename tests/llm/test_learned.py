@@ -143,6 +143,24 @@ def test_host_consensus_decides(spark):
     assert text[9] == "story box of words" and text[0] == "long story text here"
 
 
+@pytest.mark.parametrize("names", ['class="content-sidebar-wrap"', 'class="has-sidebar"', 'id="header-fixed"', 'class="post social-science"'])
+def test_wrappers_named_like_furniture_keep_the_article(names):
+    text = "Head " + "words of the article " * 20
+    side = '<div class="sidebar">left out</div><nav>menu</nav>'
+    for box in ("<article>{}</article>", "<main>{}</main>", '<div class="content">{}</div>', "{}"):
+        page = f"<body>{side}<div {names}>{box.format(f'<p>{text}</p>')}</div><p>foot line</p></body>"
+        assert main_text.extracted(page, []).startswith(text.strip()) and "left out" not in main_text.extracted(page, [])
+    inner = f"<article><h1>T</h1><div {names}><p>{text}</p></div></article>"
+    assert main_text.extracted(f"<body>{side}{inner}</body>", []) == "T " + text.strip()
+    replies = '<div class="comments">' + "<p>so they say</p>" * 90 + "</div>"
+    assert main_text.extracted(f"<body><article><p>{text}</p></article>{replies}</body>", []) == text.strip()
+
+
+def test_page_of_suspects_only_is_not_empty():
+    page = '<body><nav>menu</nav><div class="sidebar">one two</div><div class="menu">three</div><div id="share">four five</div></body>'
+    assert main_text.extracted(page, []) == "one two three four five"
+
+
 PERSONAL = ("Mail Bob.Lee@Mail7.example.com or bob.lee@mail7.example.com, +1 (017) 555-7713 or +1 017 555 7713, 97.51.17.173, 4111 1111 1111 1111, "
             "4111111111111111, DE89 3704 0044 0532 0130 00, 123-45-6789. Mr. David Miller met Mary Stone. Later Miller left. Госпожа Анна Петрова.")
 
