@@ -2,8 +2,9 @@
 
 Each page's containers are scored by the text they hold against the page furniture and links in them. The best ones vote, by
 their generalised path of tags and classes, for their host; the votes are summed in Spark. Every page is then read again with
-its host's winning paths, strongest first; a page that has none of them, or less than half of its own best container's text
-there, falls back on its own best container.
+all paths that two or more pages of its host voted for, strongest first; the first one that holds at least half of the text of the
+page's own best container wins, and what that container holds outside the winner is added, but for parts that are mostly links.
+A page without such a path has its own best container.
 
 Text is read in blocks: block-level tags and line breaks end a block, inline tags don't. Furniture is left out by tag and role:
 menus, headers (headings inside an article stay), footers, adverts, forms, scripts, styles, comments. Words of furniture in class
@@ -27,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palisade.llm.common import small_side
-from palisade.operators.skew import hot_safe_join, top_per_key
+from palisade.operators.skew import hot_safe_join
 from palisade.session import written
 
 VOTES = 3
-WINNERS = 8
+# A path of one page alone is no consensus; that page's own best container says the same.
+VOTERS = 2
 PATH_STEPS = 12
-# Broadcast bound: hosts, each with at most WINNERS paths.
-HOST_ROWS = 50_000
+# Broadcast bound: winning paths of all hosts.
+PATH_ROWS = 400_000
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<data>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -263,11 +264,23 @@ def ranked(page: Page) -> list[tuple[float, int]]:
     return sorted(scores, key=lambda s: (-s[0], -s[1]))
 
 
-def text_of(page: Page, containers: set[int]) -> str:
-    """The kept text inside any of the containers, block by block."""
+def text_of(page: Page, containers: set[int], best: int | None = None) -> str:
+    """The kept text inside any of the containers, block by block; with ``best`` also its text outside them, without link lists."""
     inside = [c in containers for c in range(len(page.paths))]
     for c in range(1, len(page.paths)):
         inside[c] = inside[c] or inside[page.parents[c]]
+    if best is not None and not inside[best]:
+        around: set[int] = set()
+        for c in containers:
+            while c >= 0 and c not in around:
+                around.add(c)
+                c = page.parents[c]
+        own, sums = [False] * len(inside), totals(page)
+        own[best] = True
+        for c in range(best + 1, len(inside)):
+            kept, _, linked = sums[c]
+            own[c] = own[page.parents[c]] and (c in around or 2 * linked <= kept)
+        inside = [a or b for a, b in zip(inside, own, strict=True)]
     blocks: dict[int, list[str]] = {}
     for block, c, text in page.kept:
         if inside[c]:
@@ -281,10 +294,13 @@ def extracted(source: str | None, winners: list[str]) -> str:
     if not best:
         return ""
     sums = totals(page)
+    there: dict[str, set[int]] = {}
+    for c in range(1, len(page.paths)):
+        there.setdefault(page.paths[c], set()).add(c)
     for path in winners:
-        found = {c for c, own in enumerate(page.paths) if own == path and c}
+        found = there.get(path)
         if found and 2 * sum(sums[c][0] for c in found) >= sums[best[0][1]][0]:
-            return text_of(page, found)
+            return text_of(page, found, best[0][1])
     return text_of(page, {best[0][1]})
 
 
@@ -293,32 +309,35 @@ def host_of(url):
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the share of its page's text that each of the page's best containers holds, summed."""
+    """(host, path, votes, voters): the share of its page's text that each of the page's best containers holds, summed."""
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             given: Counter = Counter()
+            voters: Counter = Counter()
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 page = parse(source or "")
                 best = [(s, c) for s, c in ranked(page)[:VOTES] if s > 0 and c]
                 for score, c in best:
                     given[host, page.paths[c]] += score / best[0][0]
+                voters.update({(host, page.paths[c]) for _, c in best})
             yield pa.RecordBatch.from_arrays(
                 [pa.array([h for h, _ in given], pa.string()), pa.array([p for _, p in given], pa.string()),
-                 pa.array([round(1000 * v) for v in given.values()], pa.int64())], ["host", "path", "votes"])
+                 pa.array([round(1000 * v) for v in given.values()], pa.int64()), pa.array([voters[k] for k in given], pa.int64())],
+                ["host", "path", "votes", "voters"])
 
-    cast = pages.select("host", "html").mapInArrow(vote, "host string, path string, votes long")
-    return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    cast = pages.select("host", "html").mapInArrow(vote, "host string, path string, votes long, voters long")
+    return cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.sum("voters").alias("voters"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     pages = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    top = top_per_key(votes(pages), ["host"], [F.desc("votes"), F.col("path")], WINNERS, "nth")
-    lists = written(top.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("nth", "path"))).alias("w"))
+    shared = votes(pages).where(F.col("voters") >= VOTERS)
+    lists = written(shared.groupBy("host").agg(F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("nth"), "path"))).alias("w"))
                     .select("host", F.transform("w", lambda x: x["path"]).alias("winners")), "winners")
-    small = small_side(lists, HOST_ROWS)
-    joined = pages.join(small, "host", "left") if small is not lists else hot_safe_join(pages, lists, ["host"], "left")
+    paths = lists.agg(F.coalesce(F.sum(F.size("winners")), F.lit(0))).first()[0]
+    joined = pages.join(F.broadcast(lists), "host", "left") if paths <= PATH_ROWS else hot_safe_join(pages, lists, ["host"], "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

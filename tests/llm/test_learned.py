@@ -156,6 +156,23 @@ def test_wrappers_named_like_furniture_keep_the_article(names):
     assert main_text.extracted(f"<body><article><p>{text}</p></article>{replies}</body>", []) == text.strip()
 
 
+def test_consensus_drops_nothing_of_the_page_and_holds_for_every_template(spark):
+    page = lambda main, more: f'<body><div class="wrap"><div class="content"><p>{main}</p></div>{more}</div></body>'
+    main, more = "first half " * 11, "other half " * 9
+    rows = [(k, "http://h.example/a", page("whole article " * 9, "")) for k in range(9)]
+    rows.append((9, "http://h.example/b", page(main, f'<div class="details"><p>{more}</p></div>')))
+    links = '<div class="details"><a href="/x">to another page</a></div>'
+    rows.append((10, "http://h.example/c", page(main, links)))
+    # Twelve templates of one host; the last one's pages hold more text beside the container that its host agrees on.
+    story = "<p>" + "the story " * 10 + "</p>"
+    rows += [(100 + 10 * t + k, "http://t.example/", f'<body><div class="t{"abcdefghijkl"[t]}">{story}</div></body>') for t in range(12) for k in range(14 - t)]
+    box = "<p>" + "a quote box " * 10 + "</p>"
+    rows.append((500, "http://t.example/l", f'<body><nav>{"menu " * 90}</nav><div class="tl">{story}</div><div class="q">{box}</div></body>'))
+    text = {r["page_id"]: r["text"] for r in main_text.main_texts(table(spark, PAGES, rows)).collect()}
+    assert text[0] == ("whole article " * 9).strip() and text[9] == f"{main}{more}".strip() and text[10] == main.strip()
+    assert text[500] == ("the story " * 10 + "a quote box " * 10).strip()
+
+
 def test_page_of_suspects_only_is_not_empty():
     page = '<body><nav>menu</nav><div class="sidebar">one two</div><div class="menu">three</div><div id="share">four five</div></body>'
     assert main_text.extracted(page, []) == "one two three four five"
