@@ -6,8 +6,8 @@ tightest fit in one step. When one more bin must open, the fullest closes. Piece
 hands them on longest first. Bins left open at the end of a group are packed
 once more, as whole bundles, across groups.
 
-Words are looked up in a bounded cache of pre-tokens, filled by the vocabulary's ranks; texts beyond Latin-1 go to the
-tokenizer as a whole. Both give the tokenizer's own ids (tested).
+Words are looked up in a bounded cache of pre-tokens, filled by the vocabulary's ranks; texts beyond Latin-1, and
+those that hold the content of an added token such as <|endoftext|>, go to the tokenizer as a whole. Both give the tokenizer's own ids (tested).
 
 Defined cases: a null text counts as empty and gives the one piece that holds the end id; repeated rows are packed each;
 a document longer than a sequence is cut, its first piece being the shorter one; extra columns are ignored; no documents give
@@ -58,7 +58,8 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.tokenizer.encode_special_tokens = True
+        added = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.words = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -75,6 +76,8 @@ class WordCache:
         return ids.tobytes()
 
     def ids(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return self.whole(text)
         if not text.isascii():
             try:
                 text.encode("latin-1")

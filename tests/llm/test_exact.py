@@ -208,6 +208,19 @@ def test_word_cache_gives_the_tokenizers_ids():
         assert cache.ids(text) == cache.whole(text)
 
 
+def test_ids_are_those_of_a_tokenizer_made_apart():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    apart = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    cache = packing.WordCache()
+    assert apart.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    for text in ["a<|endoftext|>b", "<|endoftext|>", "é <|endoftext|> 漢 <|endoftext|", "x <|endoftext|>" * 500, "<|endof text|>", "plain é", "漢"]:
+        ids = np.asarray(apart.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert cache.ids(text) == cache.whole(text) == ids
+
+
 VECTORS = {"vec_id": "long", "embedding": "array<float>", "label": "int"}
 
 
