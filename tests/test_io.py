@@ -1,6 +1,7 @@
 import gzip
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from palisade.operators import context, search
@@ -39,6 +40,31 @@ def test_export_as_lines_and_as_array(spark, tmp_path):
     assert [r[0] for r in both.select(F.try_variant_get("doc", "$.zone", "string")).collect()] == ["hall B", None]
 
 
+def test_array_beyond_the_size_of_a_variant(spark, tmp_path):
+    filler = "x, ]\\\"[}" + "words " * 600_000
+    with open(tmp_path / "large.json", "w") as out:
+        out.write("[\n")
+        for k in range(40):
+            out.write((",\n" if k else "") + json.dumps({"id": f"M{k}", "list": [k, {"a": []}], "pad": filler}))
+        out.write("\n]\n")
+    assert (tmp_path / "large.json").stat().st_size > 130 << 20
+    found = export.read_array(spark, str(tmp_path / "large.json")).select(
+        F.try_variant_get("doc", "$.id", "string").alias("id"), F.length(F.try_variant_get("doc", "$.pad", "string")).alias("n"))
+    assert {(r["id"], r["n"]) for r in found.collect()} == {(f"M{k}", len(filler)) for k in range(40)}
+
+
+def test_array_files_of_other_forms(spark, tmp_path):
+    texts = {"empty": " [ ] ", "none": "", "object": '{"id":"o","l":[1,2]}\n', "mixed": '\ufeff[1,"a,]\\\\",[2,[3,4]],{"id":"m, \\"n"},null]', "single": '[{"id":"s"}]'}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    got = export.read_array(spark, str(tmp_path)).select(F.to_json("doc")).collect()
+    assert sorted(str(r[0]) for r in got) == sorted(['{"id":"o","l":[1,2]}', "1", '"a,]\\\\"', "[2,[3,4]]", '{"id":"m, \\"n"}', "null", '{"id":"s"}'])
+    for text, said in {'[{"id":"s"},{"id"': "does not end", '[{"id":"s"}': "does not end", '[{"id":"s"}{}]': "no comma", '[{"id":"s"},]': "MALFORMED"}.items():
+        (tmp_path / "cut.json").write_text(text)
+        with pytest.raises(Exception, match=said):
+            export.read_array(spark, str(tmp_path / "cut.json")).collect()
+
+
 def test_incremental_files_give_their_findings(spark, tmp_path):
     with gzip.open(tmp_path / "M9.json.gz", "wt") as out:
         json.dump({"asset": {"id": "M9", "hostname": "h9"}, "findings": [{"findingId": "W-5", "status": "OPEN"}, 3]}, out)
