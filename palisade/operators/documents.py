@@ -77,16 +77,30 @@ def leaves_any_depth(df: DataFrame, doc: Column, keep: list[str], root: str = "d
 
 
 def _steps(value, path: str = ""):
-    """Every value below ``value`` with its path and key, in written order."""
-    if isinstance(value, dict):
-        inner = [(f"{path}.{name}", name, child) for name, child in value.items()]
-    elif isinstance(value, list):
-        inner = [(f"{path}[{place}]", None, child) for place, child in enumerate(value)]
-    else:
-        return
-    for step, name, child in inner:
-        yield step, name, child
-        yield from _steps(child, step)
+    """Every value below ``value`` with its path and key, in written order, at any depth."""
+    def inner(path, value):
+        if isinstance(value, dict):
+            return ((f"{path}.{name}", name, child) for name, child in value.items())
+        return ((f"{path}[{place}]", None, child) for place, child in enumerate(value)) if isinstance(value, list) else iter(())
+
+    open_ = [inner(path, value)]
+    while open_:
+        step = next(open_[-1], None)
+        if step is None:
+            open_.pop()
+            continue
+        yield step
+        if isinstance(step[2], (dict, list)):
+            open_.append(inner(step[0], step[2]))
+
+
+def _depth(value) -> int:
+    """How deep objects and lists are nested."""
+    deepest, level = 0, [value]
+    while level := [v for v in level if isinstance(v, (dict, list))]:
+        deepest += 1
+        level = [child for v in level for child in (v.values() if isinstance(v, dict) else v)]
+    return deepest
 
 
 def _texts(value) -> list[str]:
@@ -131,12 +145,19 @@ def _entry(index: int, info: dict) -> dict:
     }
 
 
+# VARIANT reads no deeper nesting.
+DEPTH = 1000
 BELOW_TEXT = re.compile(r"\.text(?=[.\[]|$)")
 CVE_WORD = re.compile(fixed.CVE_WORD.replace("(?U)", "(?i)"))
 SPELLINGS = frozenset(name for names in fixed.FIELD_SPELLINGS.values() for name in names)
 _TEXT, _TEXTS = pa.string(), pa.list_(pa.string())
+# A half of a surrogate pair that stands alone, behind whole pairs and other escapes.
+ESCAPE = re.compile(r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}|(\\u[dD][89a-fA-F][0-9a-fA-F]{2})|\\.", re.S)
+HALF = re.compile(r"\\u[dD][89a-fA-F]")
 WALKED = pa.struct([
     ("valid", pa.bool_()),
+    ("reject", _TEXT),
+    ("mended", _TEXT),
     ("hash", _TEXT),
     ("texts", _TEXTS),
     ("entries", pa.list_(pa.struct([
@@ -148,20 +169,35 @@ WALKED = pa.struct([
 ])
 
 
-def _walk(text: str | None) -> dict | None:
+def _mended(text: str) -> str:
+    """``text`` with U+FFFD for every escape that is a lone half of a surrogate pair, which no table can hold."""
+    return ESCAPE.sub(lambda m: "\\ufffd" if m[1] else m[0], text) if HALF.search(text) else text
+
+
+def _rejected(reason: str) -> dict:
+    return {"valid": False, "reject": reason}
+
+
+def _walk(text: str | None) -> dict:
     try:
-        document = json.loads(text)
-        # A lone half of a surrogate pair is no text that a table can hold, and nesting beyond the parser's depth no document.
-        json.dumps(document, ensure_ascii=False).encode()
-    except (TypeError, ValueError, RecursionError):
-        return None
+        mended = _mended(text)
+        document = json.loads(mended)
+        body = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
+        if _depth(document) > DEPTH:
+            return _rejected("too deep")
+    except (TypeError, ValueError):
+        return _rejected("no JSON")
+    except RecursionError:
+        return _rejected("too deep")
+    whole = isinstance(document, dict) and isinstance(document.get("data"), dict) and bool(document.get("findingId"))
     data = document.get("data") if isinstance(document, dict) else None
     data = data if isinstance(data, dict) else {}
     related, shared = data.get("assessmentsRelated"), data.get("sharedDetailsLocal")
     infos = related.get("activeFindingProviderInfos") if isinstance(related, dict) else None
-    body = json.dumps(document, ensure_ascii=False, sort_keys=True, default=str)
     return {
-        "valid": isinstance(document, dict) and isinstance(document.get("data"), dict) and bool(document.get("findingId")),
+        "valid": whole,
+        "reject": None if whole else "no finding",
+        "mended": mended if mended != text else None,
         "hash": hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(),
         "texts": list(dict.fromkeys(_texts(shared.get("i18n") if isinstance(shared, dict) else None))),
         "entries": [
@@ -201,8 +237,17 @@ def parsed(df: DataFrame, text: str = "body") -> DataFrame:
 
 
 def valid_documents(df: DataFrame, text: str = "body") -> DataFrame:
-    """The valid detail documents with ``walked`` and ``doc``; the strict check rides on the walk, the text is parsed once."""
-    return parsed(with_walk(df, text).where("walked.valid"), text).drop(text)
+    """The valid detail documents with ``walked`` and ``doc``; the strict check rides on the walk, the text is parsed once.
+
+    What it leaves out is counted by :func:`rejected_documents`.
+    """
+    walked = with_walk(df, text).where("walked.valid")
+    return parsed(walked.withColumn(text, F.coalesce("walked.mended", text)), text).drop(text)
+
+
+def rejected_documents(df: DataFrame, text: str = "body") -> DataFrame:
+    """(reason, documents): the documents that :func:`valid_documents` leaves out: no JSON, no finding, or too deep for VARIANT."""
+    return with_walk(df, text).where("NOT walked.valid").groupBy(F.col("walked.reject").alias("reason")).agg(F.count(F.lit(1)).alias("documents"))
 
 
 def envelopes(df: DataFrame, text: str = "body") -> DataFrame:

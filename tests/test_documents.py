@@ -169,3 +169,19 @@ def test_redaction_at_any_depth(spark):
     masked = profile.redacted_leaves(documents.leaves(rows, F.col("doc"), ["id"]), ["id"]).collect()
     assert {(r["path"], r["value"]) for r in masked} == {
         ("data.a[0].Token", "***REDACTED***"), ("data.a[1].k", "v"), ("data.password", "***REDACTED***")}
+
+
+def test_lone_surrogate_halves_keep_the_document(spark):
+    head = '{"findingId":"f%s","data":{"assessmentsRelated":{"activeFindingProviderInfos":[{"providerId":"p","note":"%s"}]},"description":"%s"}}'
+    texts = [head % (k, t, t) for k, t in enumerate(["cut \\ud83d", "\\udc00\\ud83d\\ude00 CVE-2030-1111", "kept \\\\ud83d", "\\ud83d\\ud83d\\ude00"])]
+    deep = lambda n: '{"findingId":"d","data":{"x":' + "[" * n + "]" * n + "}}"
+    texts += [deep(900), deep(990), deep(3000), deep(200_000), "{", "[]", None]
+    df = spark.createDataFrame([(t,) for t in texts], "body string")
+    rows = documents.valid_documents(df).select(
+        F.try_variant_get("doc", "$.findingId", "string").alias("id"), F.try_variant_get("doc", "$.data.description", "string").alias("said"),
+        F.get("walked.entries", F.lit(0))["raw"].alias("raw")).collect()
+    said = {r["id"]: (r["said"], json.loads(r["raw"])["note"]) for r in rows if r["raw"]}
+    expected = ["cut \ufffd", "\ufffd\U0001f600 CVE-2030-1111", "kept \\ud83d", "\ufffd\U0001f600"]
+    assert said == {f"f{k}": (t, t) for k, t in enumerate(expected)}
+    assert [r["id"] for r in rows if not r["raw"]] == ["d", "d"]
+    assert {r["reason"]: r["documents"] for r in documents.rejected_documents(df).collect()} == {"too deep": 2, "no JSON": 2, "no finding": 1}
