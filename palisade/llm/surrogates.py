@@ -2,8 +2,9 @@
 
 A replacement is a keyed permutation of the entity's own space, so it is the same wherever the entity appears, two entities of
 one shape never meet, and no table of the corpus's people is needed: digits stay digits, letters stay vowels or consonants of their script, case and
-punctuation stay where they were. Card numbers and IBANs keep their check-sum state, first names are exchanged within a list of
-their gender and script. What a permutation can't rule out (an entity mapped on itself, IBANs that differ in their check digits
+punctuation stay where they were. Card numbers and IBANs keep their check-sum state, first names are exchanged within the names of
+their gender and script: a list, and all first names that stand behind a title anywhere in the corpus, gathered as a table with
+the gender that the titles tell. People are found behind a title and as a listed or gathered first name before another name. What a permutation can't rule out (an entity mapped on itself, IBANs that differ in their check digits
 only) is checked over the corpus: all distinct entities are grouped by surrogate in Spark, and all but the smallest of a group
 take their next permutation until every surrogate is unique.
 
@@ -16,11 +17,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade.llm.common import small_side
@@ -28,6 +31,8 @@ from palisade.session import written
 
 KEY = "change-me"
 KEY_ROWS = 1_000_000
+# Broadcast bound: gathered first names, and texts that hold some.
+NAME_ROWS = 100_000
 ROUNDS = 6
 
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9])")
@@ -39,12 +44,30 @@ PHONE = re.compile(
     r"(?<![\w.-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{2,4}\) ?\d{3,4}[ -]?\d{3,4}|\d{3}-\d{3}-\d{4})(?!\w)")
 NUMERIC = [("iban", IBAN), ("ssn", SSN), ("phone", PHONE), ("ip", IP), ("card", CARD)]
 
-_NAME = r"[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zà-öø-ÿ]+)?|[А-ЯЁ][а-яё]+"
-TITLED = re.compile(
-    r"\b(Mr|Mrs|Ms|Miss|Mister|Herr|Frau|Señora|Señor|Sra|Sr|Monsieur|Madame|Mme|Dr|Prof|Господин|Госпожа)\.? "
-    rf"((?:{_NAME})(?: (?:{_NAME}))?)")
-CAPITALS = re.compile(rf"\b({_NAME}) ({_NAME})\b")
-WORD = re.compile(rf"\b(?:{_NAME})\b")
+
+
+def _letters(*categories: str) -> str:
+    """A regex class body of all characters of the categories."""
+    runs: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c)) in categories:
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in runs)
+
+
+# A name begins with a capital or a letter without case; letters, marks and inner capitals follow, also behind an apostrophe or
+# a hyphen, but not a possessive s.
+_BEGIN, _INNER = _letters("Lu", "Lt", "Lo"), _letters("Lu", "Ll", "Lt", "Lo", "Lm", "Mn", "Mc")
+_NAME = rf"[{_BEGIN}](?:['’](?!s(?!\w))[{_INNER}]|-[{_BEGIN}]|[{_INNER}])+(?![\w{_letters('Mn', 'Mc')}])"
+_TITLES = "Mr|Mrs|Ms|Miss|Mister|Herr|Frau|Señora|Señor|Sra|Sr|Monsieur|Madame|Mme|Dr|Prof|Господин|Госпожа"
+_SMALL = "(?:(?:de|del|della|di|da|dos|du|la|le|von|van|der|den|ten|ter|zu|al|bin|ibn) )*"
+TITLED = re.compile(rf"\b((?:(?:{_TITLES})\.? )+){_SMALL}(?!(?:{_TITLES})\b)({_NAME})(?: {_SMALL}({_NAME}))?")
+# Pairs overlap, so a name behind another capital is one.
+CAPITALS = re.compile(rf"(?<![\w'’-])({_NAME})(?= {_SMALL}({_NAME}))")
+WORD = re.compile(rf"(?<!\w){_NAME}")
 
 # First names by gender and script, and the gender a title tells.
 FIRST_NAMES = {
@@ -59,12 +82,31 @@ TITLE_GENDER = {"Mr": "m", "Mister": "m", "Herr": "m", "Señor": "m", "Sr": "m",
                 "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Señora": "f", "Sra": "f", "Madame": "f", "Mme": "f", "Госпожа": "f"}
 GENDER_OF = {name: (gender, script) for (gender, script), names in FIRST_NAMES.items() for name in names}
 LISTED = re.compile(r"\b(?=[A-ZÀ-ÖØ-ÞА-Я])(?:" + "|".join(sorted(GENDER_OF)) + r") ")
+A_TITLE = re.compile(rf"\b(?:{_TITLES})\b")
 
 # Alphabets in which a character is exchanged; any other character stays.
 ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâäèéêëìíîïòóôöùúûü", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ"]
 ALPHABET_OF = {c: a for a in ALPHABETS for c in a}
 
 
+def _other_alphabets() -> list[str]:
+    """The letters beyond ``ALPHABETS`` by script, the Latin ones as vowels and consonants; case must be reversible."""
+    groups: dict[str, list[str]] = {}
+    for c in map(chr, range(0x80, 0x10000)):
+        if c in ALPHABET_OF or unicodedata.category(c) not in ("Ll", "Lo") or c.upper().lower() != c or len(c.upper()) != 1:
+            continue
+        script = unicodedata.name(c, "").split(" ")[0].split("-")[0]
+        if script == "LATIN":
+            base = unicodedata.normalize("NFD", c)[0]
+            script += (" vowel" if base in "aeiou" else " consonant") if c < "\u0180" else " other"
+        groups.setdefault(script, []).append(c)
+    return ["".join(g) for g in groups.values() if len(g) > 1]
+
+
+ALPHABETS += _other_alphabets()
+ALPHABET_OF = {c: a for a in ALPHABETS for c in a}
+
+
 def _digest(key: str, *parts) -> int:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), key=key.encode()[:64], digest_size=32).digest(), "big")
 
@@ -166,26 +208,49 @@ def formatted(kind: str, text: str, new: str) -> str:
     return new
 
 
-def detected(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the entities, in order, none inside another."""
+def titled(text: str) -> list[tuple[str, str | None, str | None]]:
+    """(name, second name, gender) of the people behind a title."""
+    if not A_TITLE.search(text):
+        return []
+    return [(m[2], m[3], next((g for t in A_TITLE.findall(m[1]) if (g := TITLE_GENDER.get(t))), None)) for m in TITLED.finditer(text)]
+
+
+def script_of(name: str) -> str | None:
+    """latin or cyrillic if all letters are; None for others."""
+    scripts = {unicodedata.name(c, "").split(" ")[0].lower() for c in name if c.isalpha()}
+    return scripts.pop() if len(scripts) == 1 and scripts <= {"latin", "cyrillic"} else None
+
+
+def detected(text: str, known: dict[str, tuple[str, str | None]] | None = None) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the entities, in order, none inside another.
+
+    ``known`` are first names gathered over the corpus: (gender, or x where no title tells it, surrogate).
+    """
     found: list[tuple[int, int, str]] = []
     if "@" in text:
         found += [(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
     if re.search(r"\d[\d .()-]{5}", text):
         for kind, pattern in NUMERIC:
             found += [(m.start(), m.end(), kind) for m in pattern.finditer(text)]
+    known = known or {}
+
+    def gender(name: str) -> str | None:
+        return known[name][0] if name in known else GENDER_OF.get(name, (None,))[0]
+
     people: dict[str, str] = {}
-    for m in TITLED.finditer(text):
-        first, _, last = m[2].partition(" ")
+    for first, last, said in titled(text):
         if last:
-            people[first] = "first" if first in GENDER_OF and GENDER_OF[first][0] == TITLE_GENDER.get(m[1], GENDER_OF[first][0]) else "name"
+            own = gender(first)
+            people[first] = "first" if own in ("f", "m") and own == (said or own) else "name"
             people[last] = "name"
         else:
             people[first] = "name"
-    if LISTED.search(text):
+    if known or LISTED.search(text):
         for m in CAPITALS.finditer(text):
-            if m[1] in GENDER_OF and m[2] not in GENDER_OF and m[1] != m[2]:
-                people[m[1]], people[m[2]] = "first", "name"
+            own = gender(m[1])
+            if own and not gender(m[2]) and m[1] != m[2]:
+                people[m[1]], people[m[2]] = "name" if own == "x" else "first", "name"
+    people = {name: kind for name, kind in people.items() if any(c in ALPHABET_OF for c in name.lower())}
     if people:
         found += [(m.start(), m.end(), people[m[0]]) for m in WORD.finditer(text) if m[0] in people]
     found.sort(key=lambda f: (f[0], -f[1]))
@@ -196,17 +261,70 @@ def detected(text: str) -> list[tuple[int, int, str]]:
     return kept
 
 
-def rewritten(text: str, key: str, attempts: dict[tuple[str, str], int]) -> tuple[str, list[tuple[int, int, str]]]:
-    found = detected(text)
+def rewritten(text: str, key: str, attempts: dict[tuple[str, str], int],
+              known: dict[str, tuple[str, str | None]] | None = None) -> tuple[str, list[tuple[int, int, str]]]:
+    found = detected(text, known)
     out, at = [], 0
     for start, end, kind in found:
         own = text[start:end]
         canon = canonical(kind, own)
-        out += [text[at:start], formatted(kind, own, surrogate(kind, canon, key, attempts.get((kind, canon), 0)))]
+        gathered = known[own][1] if kind == "first" and known and own in known else None
+        out += [text[at:start], gathered or formatted(kind, own, surrogate(kind, canon, key, attempts.get((kind, canon), 0)))]
         at = end
     return "".join([*out, text[at:]]), found
 
 
+def _mark(text: str) -> str:
+    return hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
+
+
+def first_names(docs: DataFrame, key: str) -> DataFrame:
+    """(name, gender, new): the unlisted first names behind titles of the whole corpus, with the gender that most of them tell.
+
+    With the listed names of their gender and script they are exchanged along one circle in the order of keyed hashes. Gender x
+    has no surrogate of its own.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(first, said if said and script_of(first) else "x", script_of(first) or "other")
+                    for t in batch.column(0).to_pylist() if t for first, last, said in titled(t) if last and first not in GENDER_OF]
+            columns = list(zip(*rows, strict=True)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["name", "gender", "script"])
+
+    told = docs.select("text").mapInArrow(run, "name string, gender string, script string").groupBy("name", "script").agg(
+        *[F.count_if(F.col("gender") == g).alias(g) for g in "fm"])
+    gathered = written(told.select(
+        "name", "script", F.when(F.col("f") + F.col("m") == 0, "x").when(F.col("f") >= F.col("m"), "f").otherwise("m").alias("gender")), "first_names")
+    listed = docs.sparkSession.createDataFrame([(n, script, gender) for n, (gender, script) in GENDER_OF.items()], gathered.schema)
+    circle = gathered.where("gender <> 'x'").unionByName(
+        listed.join(F.broadcast(gathered.select("script", "gender").where("gender <> 'x'").distinct()), ["script", "gender"], "left_semi"))
+    order = Window.partitionBy("script", "gender").orderBy(F.sha2(F.concat(F.lit(key + "|name|"), "name"), 256), "name")
+    whole = Window.partitionBy("script", "gender").orderBy(F.sha2(F.concat(F.lit(key + "|name|"), "name"), 256), "name").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    turned = circle.select("name", "gender", F.coalesce(F.lead("name").over(order), F.first("name").over(whole)).alias("new"))
+    return turned.unionByName(gathered.where("gender = 'x'").select("name", "gender", F.lit(None).cast("string").alias("new")))
+
+
+def _known(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """(mark, known): the gathered first names that stand in a text before another name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = {(_mark(t), first) for t in batch.column(0).to_pylist() if t
+                    for first in {m[1] for m in CAPITALS.finditer(t)} | {f for f, last, _ in titled(t) if last}}
+            columns = list(zip(*sorted(rows), strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["mark", "name"])
+
+    seen = docs.select("text").mapInArrow(run, "mark string, name string")
+    return seen.join(small_side(names, NAME_ROWS), "name").groupBy("mark").agg(
+        F.collect_set(F.struct("name", "gender", "new")).alias("known"))
+
+
+def _as_known(rows) -> dict[str, tuple[str, str | None]]:
+    return {r["name"]: (r["gender"], r["new"]) for r in rows or []}
+
+
 def _mapped(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canon, attempt) with the surrogate of that attempt."""
 
@@ -236,27 +354,43 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text``, and the columns n_entities and entities (kind:start:end in the old text)."""
     docs = docs.drop("n_entities", "entities")
     place, width = docs.columns.index("text"), len(docs.columns)
+    schema = docs.select("*", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entities")).schema
+    names = schema.names
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_mark(t) if t else None for t in batch.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "_mark"])
+
+    def with_mark() -> DataFrame:
+        return docs.mapInArrow(marked, docs.select("*", F.lit(None).cast("string").alias("_mark")).schema)
+
+    gathered = written(first_names(docs, key), "name_circle")
+    known = None if gathered.isEmpty() else written(_known(docs, gathered), "known")
+    if known is None:
+        texts = docs.select("text", F.lit(None).cast("array<struct<name:string,gender:string,new:string>>").alias("known"))
+    else:
+        texts = with_mark().join(small_side(known.withColumnRenamed("mark", "_mark"), NAME_ROWS), "_mark", "left").select("text", "known")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = {(hashlib.blake2b(t.encode(), digest_size=16).hexdigest(), kind, canonical(kind, t[a:b]))
-                    for t in batch.column(0).to_pylist() if t for a, b, kind in detected(t)}
+            rows = {(_mark(t), kind, canonical(kind, t[a:b])) for t, k in zip(*(c.to_pylist() for c in batch.columns), strict=True) if t
+                    for a, b, kind in detected(t, _as_known(k))}
             columns = list(zip(*sorted(rows), strict=True)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["mark", "kind", "canon"])
 
-    entities = written(docs.select("text").mapInArrow(listed, "mark string, kind string, canon string"), "entities")
-    odd = written(exceptions(entities.select("kind", "canon").distinct(), key), "exceptions")
+    entities = written(texts.mapInArrow(listed, "mark string, kind string, canon string"), "entities")
+    # First names are exchanged along a circle, where none meets another.
+    odd = written(exceptions(entities.where("kind <> 'first'").select("kind", "canon").distinct(), key), "exceptions")
     # Texts that hold an exception carry its attempts; usually there is none.
     by_text = entities.join(odd, ["kind", "canon"]).groupBy("mark").agg(F.collect_set(F.struct("kind", "canon", "attempt")).alias("attempts"))
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entities")).schema
-    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, said = [], [], []
-            given = batch.column(width).to_pylist() if batch.num_columns > width else [None] * batch.num_rows
-            for text, attempts in zip(batch.column(place).to_pylist(), given, strict=True):
-                new, found = rewritten(text, key, {(a["kind"], a["canon"]): a["attempt"] for a in attempts or []}) if text else (text, [])
+            given = [c.to_pylist() for c in batch.columns[width:]] or [[None] * batch.num_rows] * 2
+            for text, attempts, own in zip(batch.column(place).to_pylist(), *given, strict=True):
+                new, found = rewritten(text, key, {(a["kind"], a["canon"]): a["attempt"] for a in attempts or []}, _as_known(own)) if text else (text, [])
                 texts.append(new)
                 counts.append(len(found))
                 said.append(",".join(f"{kind}:{a}:{b}" for a, b, kind in found))
@@ -264,15 +398,18 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
             columns[place] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(said, pa.string())], names)
 
-    if odd.isEmpty():
+    rare = not odd.isEmpty()
+    if not rare and known is None:
         return docs.mapInArrow(run, schema)
-    marks = written(by_text, "attempts")
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [hashlib.blake2b(t.encode(), digest_size=16).hexdigest() if t else None for t in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "_mark"])
-
-    with_mark = docs.mapInArrow(marked, docs.select("*", F.lit(None).cast("string").alias("_mark")).schema)
-    carried = with_mark.join(small_side(marks.withColumnRenamed("mark", "_mark"), KEY_ROWS), "_mark", "left")
-    return carried.select(*docs.columns, F.col("attempts").alias("_attempts")).mapInArrow(run, schema)
+    none = "CAST(NULL AS array<struct<{}>>)"
+    carried = with_mark()
+    if rare:
+        marks = written(by_text, "attempts")
+        carried = carried.join(small_side(marks.withColumnRenamed("mark", "_mark"), KEY_ROWS), "_mark", "left").withColumnRenamed("attempts", "_attempts")
+    else:
+        carried = carried.withColumn("_attempts", F.expr(none.format("kind:string,canon:string,attempt:int")))
+    if known is not None:
+        carried = carried.join(small_side(known.withColumnRenamed("mark", "_mark").withColumnRenamed("known", "_known"), NAME_ROWS), "_mark", "left")
+    else:
+        carried = carried.withColumn("_known", F.expr(none.format("name:string,gender:string,new:string")))
+    return carried.select(*docs.columns, "_attempts", "_known").mapInArrow(run, schema)

@@ -204,6 +204,25 @@ def test_surrogates_keep_kind_format_and_coreference():
     assert surrogates.rewritten(clean, "k", {}) == (clean, [])
 
 
+@pytest.mark.parametrize("name", ["McDonald", "O'Brien", "O’Neill", "Wałęsa", "Dvořák", "Παπαδόπουλος", "王伟", "MacArthur-Łoś"])
+def test_names_of_any_letters_behind_a_title(name):
+    text = f"We met Dr {name} and then {name}'s friend."
+    new, found = surrogates.rewritten(text, "k", {})
+    assert [text[a:b] for a, b, _ in found] == [name, name] and name not in new and new.count(new[found[0][0] : found[0][1]]) == 2
+
+
+def test_first_names_are_gathered_over_the_corpus(spark):
+    texts = ["Then Emily Johnson spoke.", "Mrs Emily Clark and Mr Tadeusz Nowak", "Yesterday Tadeusz McKay came with Mary Stone", "Dr Quinn Vance",
+             "Quinn Harper", "Emma Harper is unknown"]
+    rows = {r["doc_id"]: r for r in surrogates.replaced(table(spark, DOCS, [(k, t, None, None, None) for k, t in enumerate(texts)]), key="k").collect()}
+    found = {k: [(kind, texts[k][int(a) : int(b)]) for kind, a, b in (e.split(":") for e in r["entities"].split(",") if e)] for k, r in rows.items()}
+    assert found[0] == [("first", "Emily"), ("name", "Johnson")] and found[4] == [("name", "Quinn"), ("name", "Harper")] and found[5] == []
+    assert found[2] == [("first", "Tadeusz"), ("name", "McKay"), ("first", "Mary"), ("name", "Stone")]
+    women, men = ({*surrogates.FIRST_NAMES[g, "latin"], n} for g, n in (("f", "Emily"), ("m", "Tadeusz")))
+    emily, tadeusz = rows[0]["text"].split()[1], rows[2]["text"].split()[1]
+    assert emily in women - {"Emily"} and tadeusz in men - {"Tadeusz"} and rows[1]["text"].split()[1] == emily
+
+
 def test_permutation_is_one_to_one():
     sizes = [3, 10, 2, 5]
     every = [[a, b, c, d] for a in range(3) for b in range(10) for c in range(2) for d in range(5)]
