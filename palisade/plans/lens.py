@@ -73,11 +73,12 @@ def _sighting(asset: str, scale: str, later: str) -> str:
     return _SIGHTING.replace("[asset]", asset).replace("[scale]", scale).replace("[later]", later)
 
 
-# Some findings sit on two assets; the second sighting has another score and is older or newer than the first.
+# Some findings sit on two assets; the second sighting has another score and is older or newer than the first. The divisors are
+# odd: a price in cents over an odd number never lies halfway between two cents, where engines round differently.
 SEARCH = (
     _sighting("o.o_custkey", "105", "")
     + "UNION ALL"
-    + _sighting("(o.o_custkey + 1)", "CASE WHEN l.l_partkey % 2 = 0 THEN 250 ELSE 80 END",
+    + _sighting("(o.o_custkey + 1)", "CASE WHEN l.l_partkey % 2 = 0 THEN 251 ELSE 81 END",
                 " + CASE WHEN l.l_suppkey % 2 = 0 THEN INTERVAL '9' DAY ELSE INTERVAL '-4' DAY END")
     + "WHERE l.l_linenumber = 3 AND l.l_orderkey % 4 < 2\n"
 )
@@ -143,9 +144,10 @@ SHARED = {
         f.status, f.hyScoreV2, f.cve, f.cvssScore, f.cvssVector, f.severity, f.description, f.remediation, f.port, f.protocol,
         f.service, f.provider, f.firstSeen, f.lastSeen, f.cisaKev
         FROM merged m JOIN assets a USING (assetId) JOIN findings f USING (findingId)""",
-    "facts": "SELECT m.assetId, m.hostname, f.* FROM merged m JOIN findings f USING (findingId)",
+    "facts": """SELECT m.assetId, m.hostname, f.* FROM merged m JOIN findings f USING (findingId)
+        WHERE m.assetId IN (SELECT assetId FROM assets)""",
 }
-_NEEDS = {"merged": ("search",), "findings": ("merged",), "instances": ("assets", "findings"), "facts": ("findings",)}
+_NEEDS = {"merged": ("search",), "findings": ("merged",), "instances": ("assets", "findings"), "facts": ("assets", "findings")}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -274,7 +274,7 @@ def _(spark, sf):
 SELECT remediationKey, maxTrs, findingCount, cveCount, {_pri('maxTrs', 'maxCvss', 'false', '0')} AS priority,
   {_score('maxTrs', 'maxCvss', 'false', '0')} AS "priorityScore",
   'TRS max ' || CAST(CAST(round_even(coalesce(maxTrs, 0), 0) AS BIGINT) AS VARCHAR) || ' · CVSS max ' || printf('%.1f', coalesce(maxCvss, 0.0)) AS "priorityReason"
-FROM rs""", "facts", extra={"rs": REMEDIATION_SUMMARY_SQL}))
+FROM rs""", "instances", extra={"rs": REMEDIATION_SUMMARY_SQL}))
 def _(spark, sf):
     return dashboard.enrich_remediations(gold.remediation_summary(facts(spark, sf))).select(
         "remediationKey", "maxTrs", "findingCount", "cveCount", "priority", "priorityScore", "priorityReason")
