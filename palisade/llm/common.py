@@ -41,3 +41,8 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     The count is one job over ``df``; give a written table. Beyond the bound Spark joins by shuffle.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spaced_words(text: Column) -> Column:
+    """The maximal runs of other than space, tab, line feed, vertical tab, form feed and carriage return."""
+    return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palisade.llm import decontaminate, language, main_text, near_dedup, neighbours, packing, secret_scan, substring_dedup, surrogates, toxicity
+from palisade.llm import (
+    decontaminate,
+    filter_audit,
+    language,
+    line_dedup,
+    main_text,
+    near_dedup,
+    neighbours,
+    packing,
+    secret_scan,
+    substring_dedup,
+    surrogates,
+    toxicity,
+    vector_codes,
+)
 from palisade.llm.common import prepare_arrow, table
 from palisade.session import prepare
 
@@ -81,3 +95,18 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return surrogates.replaced(docs)
+
+
+@query("op11_filter_audit", filter_audit.ORACLE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op12_line_dedup", line_dedup.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op13_vector_codes", vector_codes.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))

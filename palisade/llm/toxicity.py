@@ -4,15 +4,22 @@ Every window of a text is the bag of its words' character n-grams, word ends inc
 Embeddings and softmax are trained jointly in numpy on a bounded sample of labelled documents; a misspelling that was never
 seen still shares most of its n-grams. As the softmax is linear, scoring needs one number per n-gram row: a table of
 2 ** BITS floats is all that goes to the executors. A document's score combines its worst and its mean window, so whole texts
-of any length count; that last step is a two-weight logistic fit on the same sample.
+of any length count.
+
+The operating point is cross-fitted. The sample is cut into five parts in the order of a hash of the texts, so that copies lie
+together: two tables are trained on two parts each, and the model is their mean. A logistic fit turns the odds of each half
+under the other half's table into probabilities, with label shares restored. The fifth part, which no step has seen, then holds
+the result: if more than ``CLEAN_LOSS`` of its clean documents reach the threshold, the intercept goes down until they don't.
 
 Defined cases: null and empty texts have an empty bag and get the score of no evidence; labels that are null or repeat with
-both values: null is ignored, any 1 wins; documents without labels are scored all the same; without labelled rows of both
-kinds every score is the share of label 1 (0 if there is none); extra columns are ignored.
+both values: null is ignored, any 1 wins; documents without labels are scored all the same; rows that repeat are each scored,
+and of an id with several texts the greatest is learned from; without labelled rows of both kinds, empty tables included, every
+score is the share of label 1 (0 if there is none); extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,15 +38,20 @@ EPOCHS, BATCH, SEED = 10, 512, 7
 # Step sizes: of the softmax, and of the strongest row of the table. Rows move in proportion to their gradients, so what
 # only a few windows hold stays near its start; both fall linearly to zero.
 RATE, TABLE_RATE = 0.02, 2.5
-# Every fifth sample document is left out of the embeddings and fits the last step.
-LEFT_OUT = 5
+# Parts of the sample: two for either table, one for the check of the operating point.
+PARTS = 5
+# The share of the checking part's clean documents that may reach the threshold.
+CLEAN_LOSS = 0.02
 
 _MULTIPLY = np.uint32(0x9E3779B1)
 _SPACE = np.uint32(0x20)
 
 
 def normalized(text: str) -> np.ndarray:
-    """Code points in lower case with every run of other than letters and digits as one space, at both ends too."""
+    """Code points in lower case with every run of other than letters and digits as one space, at both ends too.
+
+    Everything from U+3000 up counts as a letter.
+    """
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), dtype="<u4")
     kind = _kinds()
     other = ~np.where(codes < len(kind), kind[np.minimum(codes, len(kind) - 1)], True)
@@ -100,10 +112,14 @@ class Model:
         count = np.bincount(window)
         return (total / np.maximum(count, 1))[count > 0] + self.bias
 
-    def score(self, text: str | None) -> float:
+    def odds(self, text: str | None) -> float:
+        """Log-odds of label 1."""
         odds = self.window_odds(text or "")
         a, b, c = self.combine
-        return float(1 / (1 + np.exp(-np.clip(a * odds.max() + b * odds.mean() + c, -30, 30))))
+        return float(a * odds.max() + b * odds.mean() + c)
+
+    def score(self, text: str | None) -> float:
+        return float(1 / (1 + np.exp(-np.clip(self.odds(text), -30, 30))))
 
 
 def _windows(text: str, most: int) -> list[np.ndarray]:
@@ -116,21 +132,19 @@ def _windows(text: str, most: int) -> list[np.ndarray]:
     return [w for k in sorted(chosen) if len(w := rows[window == k])]
 
 
-def fit(texts: list[str | None], labels: list[int], share: float, epochs: int = EPOCHS, seed: int = SEED) -> Model:
-    """Train on documents; ``share`` is the share of label 1 among all labelled documents, which the weights restore."""
-    y = np.asarray(labels, dtype=np.float64)
-    if not len(y) or y.min() == y.max():
-        odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Model(np.zeros(1 << BITS, dtype=np.float32), float(odds), (1.0, 0.0, 0.0))
-    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    bags, owner = [], []
-    for k, text in enumerate(texts):
-        for bag in _windows(text or "", SAMPLE_WINDOWS):
-            bags.append(bag)
-            owner.append(k)
-    owner_ = np.asarray(owner, dtype=np.int64)
-    learn = np.flatnonzero(owner_ % LEFT_OUT > 0)
-    each = weight[owner_] / np.bincount(owner_, minlength=len(y))[owner_]
+def _parts(texts: list[str | None], y: np.ndarray) -> np.ndarray:
+    """The part of every document: within each label, equal stretches in the order of a hash of the text."""
+    hashes = np.array([zlib.crc32(normalized(t or "").tobytes()) for t in texts], dtype=np.int64)
+    part = np.zeros(len(y), dtype=np.int64)
+    for value in (0, 1):
+        own = np.flatnonzero(y == value)
+        own = own[np.argsort(hashes[own], kind="stable")]
+        part[own] = np.arange(len(own)) * PARTS // max(1, len(own))
+    return part
+
+
+def _table(bags: list[np.ndarray], target: np.ndarray, each: np.ndarray, epochs: int, seed: int) -> tuple[np.ndarray, float]:
+    """(table, bias) of one joint training over windows with labels ``target`` and weights ``each``."""
     rng = np.random.default_rng(seed)
     size = 1 << BITS
     table = rng.normal(0, 0.01, (DIM, size)).astype(np.float32)
@@ -139,9 +153,9 @@ def fit(texts: list[str | None], labels: list[int], share: float, epochs: int =
     params = [table, soft, bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step, peak = 0, 0.0
-    steps = epochs * -(-len(learn) // BATCH)
+    steps = epochs * -(-len(bags) // BATCH)
     for _ in range(epochs):
-        order = rng.permutation(learn)
+        order = rng.permutation(len(bags))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
             rows = np.concatenate([bags[k] for k in chosen])
@@ -151,8 +165,7 @@ def fit(texts: list[str | None], labels: list[int], share: float, epochs: int =
             logits = mean @ soft + bias
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            target = y[owner_[chosen]].astype(int)
-            p[np.arange(len(chosen)), target] -= 1
+            p[np.arange(len(chosen)), target[chosen]] -= 1
             g = (p * (each[chosen] / each[chosen].sum())[:, None]).astype(np.float32)
             back = (g @ soft.T) / sizes[:, None]
             spread = np.repeat(np.arange(len(chosen)), sizes)
@@ -168,20 +181,85 @@ def fit(texts: list[str | None], labels: list[int], share: float, epochs: int =
                     param -= RATE * left * (m / (1 - 0.9 ** (step + 1))) / (np.sqrt(v / (1 - 0.99 ** (step + 1))) + 1e-8)
             step += 1
     way = soft[:, 1] - soft[:, 0]
-    model = Model((way @ table).astype(np.float32), float(bias[1] - bias[0]), (1.0, 0.0, 0.0))
-
-    # Worst and mean window to one probability: a weighted logistic fit by Newton steps.
-    tuned = [k for k in range(len(y)) if k % LEFT_OUT == 0]
-    if y[tuned].min() == y[tuned].max():
-        tuned = list(range(len(y)))
-    odds = [model.window_odds(texts[k] or "") for k in tuned]
-    x, y, weight = np.array([[o.max(), o.mean(), 1.0] for o in odds]), y[tuned], weight[tuned]
-    beta = np.array([0.5, 0.5, 0.0])
-    for _ in range(50):
+    return (way @ table).astype(np.float32), float(bias[1] - bias[0])
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
+    """Weighted logistic regression, the last column an intercept without ridge: Newton steps, halved until the loss falls."""
+    ridges = np.full(x.shape[1], ridge * weight.sum())
+    ridges[-1] = 0.0
+
+    def loss(beta: np.ndarray) -> float:
+        z = x @ beta
+        return float(weight @ (np.logaddexp(0, z) - y * z) + 0.5 * ridges @ (beta * beta))
+
+    beta = np.zeros(x.shape[1])
+    now = loss(beta)
+    for _ in range(100):
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hessian = (x * (weight * q * (1 - q))[:, None]).T @ x + 1e-2 * np.eye(3)
-        beta += np.clip(np.linalg.solve(hessian, x.T @ (weight * (y - q)) - 1e-2 * beta), -2, 2)
-    model.combine = tuple(float(v) for v in beta)
+        slope = x.T @ (weight * (q - y)) + ridges * beta
+        hessian = (x * (weight * q * (1 - q))[:, None]).T @ x + np.diag(ridges + 1e-9 * weight.sum())
+        way = np.linalg.solve(hessian, slope)
+        length = 1.0
+        while length > 1e-6 and not loss(beta - length * way) <= now - 1e-4 * length * float(slope @ way):
+            length /= 2
+        if length <= 1e-6:
+            break
+        beta = beta - length * way
+        before, now = now, loss(beta)
+        if before - now < 1e-10 * abs(before):
+            break
+    return beta
+
+
+def _combined(odds: list[np.ndarray], y: np.ndarray, weight: np.ndarray) -> tuple[float, float, float]:
+    """Weights of worst window, mean window and 1. More evidence never lowers a score: a negative weight leaves the fit."""
+    x = np.array([[o.max(), o.mean(), 1.0] for o in odds])
+    used = [0, 1, 2]
+    while True:
+        beta = np.zeros(3)
+        beta[used] = logistic(x[:, used], y, weight)
+        negative = [k for k in used[:-1] if beta[k] < 0]
+        if not negative:
+            return tuple(float(v) for v in beta)
+        used.remove(min(negative, key=lambda k: beta[k]))
+
+
+def fit(texts: list[str | None], labels: list[int], share: float, epochs: int = EPOCHS, seed: int = SEED,
+        threshold: float = THRESHOLD) -> Model:
+    """Train on documents; ``share`` is the share of label 1 among all labelled documents, which the weights restore."""
+    y = np.asarray(labels, dtype=np.float64)
+    if not len(y) or y.min() == y.max():
+        odds = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
+        return Model(np.zeros(1 << BITS, dtype=np.float32), float(odds), (1.0, 0.0, 0.0))
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    part = _parts(texts, y)
+    if min((y == 0).sum(), (y == 1).sum()) < PARTS:
+        part[:] = 0  # too few for parts: one table, fitted and tuned on all
+    bags, owner = [], []
+    for k, text in enumerate(texts):
+        for bag in _windows(text or "", SAMPLE_WINDOWS) if part[k] < PARTS - 1 else ():
+            bags.append(bag)
+            owner.append(k)
+    owner_ = np.asarray(owner, dtype=np.int64)
+    each = weight[owner_] / np.bincount(owner_, minlength=len(y))[owner_]
+    half = part // 2  # 0 and 1 are the halves, 2 the checking part
+    halves = []
+    for side in range(1 if not half.any() else 2):
+        own = np.flatnonzero(half[owner_] == side)
+        if not len(own):
+            return Model(np.zeros(1 << BITS, dtype=np.float32), float(np.log(share / (1 - share))), (1.0, 0.0, 0.0))
+        table, bias = _table([bags[k] for k in own], y[owner_[own]].astype(int), each[own], epochs, seed + side)
+        halves.append(Model(table, bias, (1.0, 0.0, 0.0)))
+    seen = np.flatnonzero(half < 2)
+    odds = [halves[(1 - half[k]) % len(halves)].window_odds(texts[k] or "") for k in seen]
+    model = Model(np.mean([h.table for h in halves], axis=0, dtype=np.float32), float(np.mean([h.bias for h in halves])),
+                  _combined(odds, y[seen], weight[seen]))
+    clean = [k for k in np.flatnonzero(half == 2) if y[k] == 0]
+    if clean:
+        reached = np.quantile([model.odds(texts[k]) for k in clean], 1 - CLEAN_LOSS)
+        a, b, c = model.combine
+        model.combine = (a, b, c - max(0.0, float(reached - np.log(threshold / (1 - threshold))) + 1e-6))
     return model
 
 
@@ -202,7 +280,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         return fit([], [], 0.0)
     # At most 2 * sample_docs ids: a proven size.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    sample = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    sample = rows.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id")
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     return fit(sample["text"].tolist(), sample["toxic"].astype(int).tolist(), share)
 

@@ -25,9 +25,9 @@ BAD = ["grubnik", "fozzard", "wimblet", "snarkel"]
 LABELS = {"doc_id": "long", "quality": "int", "toxic": "int"}
 
 
-def labelled(n, seed=1):
+def labelled(n, seed=1, plain=None):
     rng = random.Random(seed)
-    plain = ["".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    plain = plain or ["".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
     texts, labels = [], []
     for k in range(n):
         words = [rng.choice(plain) for _ in range(rng.randint(20, 300))]
@@ -51,6 +51,42 @@ def test_toxicity_held_out(model):
     assert np.mean([f == bool(y) for f, y in zip(found, labels, strict=True)]) > 0.95
 
 
+def test_operating_point_holds_at_every_sample():
+    """Clean documents stay, toxic ones go, whatever sample the model saw; documents of 20 to 2000 words."""
+    rng = random.Random(8)
+    plain = ["".join(rng.choice("abdeilmnorstu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    texts, labels = labelled(400, seed=9, plain=plain)
+    texts = [" ".join([t] * (1 + 7 * (k % 3 == 0))) for k, t in enumerate(texts)]
+    kept = []
+    for size, seed in ((200, 11), (400, 12), (400, 13), (1600, 14)):
+        own = toxicity.fit(*labelled(size, seed=seed, plain=plain), 0.25)
+        found = np.array([own.score(t) >= toxicity.THRESHOLD for t in texts])
+        toxic = np.array(labels) == 1
+        assert (~found[~toxic]).mean() >= 0.95 and found[toxic].mean() >= 0.9
+        assert min(own.combine[:2]) >= 0
+        kept.append((~found).mean())
+    assert max(kept) - min(kept) <= 0.03
+
+
+def test_logistic_fit_converges():
+    """Also where the unguarded Newton step jumps: separable data, few documents, unequal weights."""
+    rng = np.random.default_rng(5)
+    for scale in (0.1, 1, 30):
+        x = np.column_stack([rng.normal(size=200) * scale, rng.normal(size=200) * scale, np.ones(200)])
+        for y in ((x[:, 0] > 0), (x[:, 0] + x[:, 1] + scale * rng.normal(size=200) > scale), np.arange(200) < 3):
+            weight = np.where(y, 0.2, 2.0)
+            beta = toxicity.logistic(x, y.astype(float), weight)
+            q = 1 / (1 + np.exp(-x @ beta))
+            slope = x.T @ (weight * (q - y)) + 1e-3 * weight.sum() * np.array([*beta[:2], 0])
+            assert np.abs(slope).max() < 1e-3 * weight.sum() * max(1, scale)
+
+
+def test_scores_equal_a_plain_scorer(model, corpus):
+    odd = ["É ÉCOLE ß İstanbul", "a", "  ", "Ａｂｃ 漢字 の text", "x" * 3000, "snarkel. " * 40 + "fine words here " * 60]
+    for text in [t for _, t in corpus if t is None or len(t) < 6000] + odd:
+        assert abs(model.score(text) - brute.toxicity_score(model, text)) < 1e-4
+
+
 def test_misspellings_share_their_ngrams(model):
     clean = labelled(1, seed=3)[0][0].split()[:20]
     odds = lambda w: model.window_odds(" ".join([*clean, w])).max()

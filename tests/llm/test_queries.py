@@ -23,14 +23,14 @@ def run(spark, sf_dir, start):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in NAMES) == list(range(1, 14))
     assert "pipeline" in contract.queries()
 
 
 @pytest.mark.parametrize("name", [n for n in NAMES if n in contract.oracle_sql()])
 def test_query_equals_sql(name, spark, sf_dir):
     connection = duckdb.connect()
-    for other in ("documents", "benchmark"):
+    for other in ("documents", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {other} AS SELECT * FROM '{sf_dir}/{other}.parquet'")
     frame = contract.queries()[name](spark, sf_dir)
     cursor = connection.execute(contract.oracle_sql()[name])
