@@ -48,6 +48,11 @@ def is_object(doc: Column) -> Column:
     return F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
 
 
+def is_nested(doc: Column) -> Column:
+    """An object or an array."""
+    return is_object(doc) | F.try_variant_get(doc, "$", "array<variant>").isNotNull()
+
+
 def is_json(text: Column) -> Column:
     """True only when the whole text is one JSON value.
 

@@ -1,7 +1,7 @@
 """Nested JSON documents as rows.
 
-Two walks are offered. ``leaves`` stays in the JVM: each pass of VARIANT explode opens one more level while
-finished leaves pass through, so one scan without a shuffle reaches every leaf. VARIANT keeps object keys
+Two walks are offered. ``leaves`` and ``fields`` stay in the JVM: each pass of VARIANT explode opens one more level while
+finished rows pass through, so one scan without a shuffle reaches everything at any depth. VARIANT keeps object keys
 sorted, so where the order in which a document was written decides the result (first text, last duplicate)
 ``with_walk`` reads the text once per document in Arrow batches and keeps the written order.
 """
@@ -19,61 +19,107 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
 from palisade import fixed_values as fixed
-from palisade.functions.json_text import is_json, kind_of
+from palisade.functions.json_text import is_json, is_nested, kind_of
+from palisade.session import written
 
 
 
-def leaves(df: DataFrame, doc: Column, keep: list[str], root: str = "data", depth: int = 12) -> DataFrame:
-    """Every leaf of a VARIANT: path, shape (array steps as ``[]``), parent, key, kind and text value.
+STRING_OR_REST = '"(?:[^"\\\\]|\\\\.)*+"|[^\\[\\]{}"]++'
 
-    Empty containers count as leaves. A document nested deeper than ``depth`` fails the job rather than losing
-    leaves; call again with a larger value.
-    """
-    spark = df.sparkSession
-    rows = df.select(
+
+def depth_of(text: Column) -> Column:
+    """How deep objects and lists are nested in a JSON text: what its brackets alone say."""
+    brackets = F.regexp_replace(text, STRING_OR_REST, "")
+    levels = F.aggregate(
+        F.split(brackets, ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda s, c: F.transform(
+            F.array(s["now"] + F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)),
+            lambda now: F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most")))[0])
+    return levels["most"]
+
+
+def levels(df: DataFrame, doc: Column) -> int:
+    """How deep the deepest VARIANT of a table is nested: one number."""
+    found = df.agg(F.max(depth_of(F.to_json(doc)))).first()[0]
+    return int(found or 0)
+
+
+def _opened(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """Every row's value opened by one level; a leaf stays as it is."""
+    opened = rows.sparkSession.tvf.variant_explode_outer(F.col("_v").outer()).toDF("_pos", "_key", "_child")
+    step, is_open = F.col("_key"), F.col("_pos").isNotNull()
+    return rows.lateralJoin(opened).select(
+        *keep,
+        F.coalesce("_child", "_v").alias("_v"),
+        F.when(~is_open, F.col("path")).when(step.isNotNull(), F.concat("path", F.lit("."), step))
+        .otherwise(F.concat("path", F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).alias("path"),
+        F.when(~is_open, F.col("shape")).when(step.isNotNull(), F.concat("shape", F.lit("."), step))
+        .otherwise(F.concat("shape", F.lit("[]"))).alias("shape"),
+        F.when(is_open, F.col("path")).otherwise(F.col("parent")).alias("parent"),
+        F.when(is_open, step).otherwise(F.col("key")).alias("key"),
+    )
+
+
+# Rounds of one plan; a deeper table goes on from a written one, as the planner's own recursion has its limits.
+ROUNDS = 40
+
+
+def _cut(rows: DataFrame, done: int) -> DataFrame:
+    return written(rows, "walk") if done and done % ROUNDS == 0 else rows
+
+
+def _start(df: DataFrame, doc: Column, keep: list[str], root: str) -> DataFrame:
+    return df.select(
         *keep, doc.alias("_v"), F.lit(root).alias("path"), F.lit(root).alias("shape"),
         F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("key"),
     )
-    for _ in range(depth):
-        opened = spark.tvf.variant_explode_outer(F.col("_v").outer()).toDF("_pos", "_key", "_child")
-        step, is_open = F.col("_key"), F.col("_pos").isNotNull()
-        rows = rows.lateralJoin(opened).select(
-            *keep,
-            F.coalesce("_child", "_v").alias("_v"),
-            F.when(~is_open, F.col("path")).when(step.isNotNull(), F.concat("path", F.lit("."), step))
-            .otherwise(F.concat("path", F.lit("["), F.col("_pos").cast("string"), F.lit("]"))).alias("path"),
-            F.when(~is_open, F.col("shape")).when(step.isNotNull(), F.concat("shape", F.lit("."), step))
-            .otherwise(F.concat("shape", F.lit("[]"))).alias("shape"),
-            F.when(is_open, F.col("path")).otherwise(F.col("parent")).alias("parent"),
-            F.when(is_open, step).otherwise(F.col("key")).alias("key"),
-        )
+
+
+def leaves(df: DataFrame, doc: Column, keep: list[str], root: str = "data", depth: int | None = None) -> DataFrame:
+    """Every leaf of a VARIANT at any depth: path, shape (array steps as ``[]``), parent, key, kind and text value.
+
+    Empty containers count as leaves. There are as many rounds as the deepest document has levels, which one pass over the
+    brackets tells beforehand (``levels``); give ``depth`` where it is known, or where a stream can't be asked. What lies deeper
+    than a given depth fails the job rather than getting lost.
+    """
+    rows = _start(df, doc, keep, root)
+    for done in range(levels(df, doc) if depth is None else depth):
+        rows = _opened(_cut(rows, done), keep)
     text = F.try_variant_get("_v", "$", "string")
     too_deep = F.col("kind").isin("object", "array") & ~text.isin("{}", "[]")
     return rows.withColumn("kind", kind_of(F.col("_v"))).select(
         *keep, "path", "shape", "parent", "key", "kind",
-        F.when(too_deep, F.raise_error(F.lit(f"a document is nested deeper than {depth} levels")).cast("string"))
+        F.when(too_deep, F.raise_error(F.lit("a document is nested deeper than the given depth")).cast("string"))
         .otherwise(text).alias("value"),
     )
 
 
-def leaves_any_depth(df: DataFrame, doc: Column, keep: list[str], root: str = "data") -> DataFrame:
-    """The same leaves through a recursive query, for documents of unknown depth."""
-    spark = df.sparkSession
-    start = df.select(*keep, doc.alias("v"), F.lit(root).alias("path"))
-    start.createOrReplaceTempView("palisade_walk_start")
-    ids = ", ".join(f"`{name}`" for name in keep)
-    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
-    return spark.sql(f"""
-        WITH RECURSIVE walk AS (
-          SELECT {ids}, v, path, CAST(NULL AS STRING) AS key FROM palisade_walk_start
-          UNION ALL
-          SELECT {ids}, c.value, CASE WHEN c.key IS NULL THEN concat(path, '[', c.pos, ']') ELSE concat(path, '.', c.key) END,
-                 c.key
-          FROM walk, LATERAL variant_explode(v) AS c(pos, key, value))
-        SELECT {ids}, path, key, CAST(try_variant_get(v, '$', 'string') AS STRING) AS value FROM walk
-        WHERE NOT (schema_of_variant(v) LIKE 'OBJECT<_%>' OR schema_of_variant(v) LIKE 'ARRAY<%')
-           OR to_json(v) IN ('[]', '{{}}')
-    """)
+def fields(df: DataFrame, doc: Column, keep: list[str], root: str = "data", depth: int | None = None) -> DataFrame:
+    """Every value of a VARIANT at any depth, nested ones too: path, shape, parent, key and the value ``v``.
+
+    A round hands out the nodes it opens and goes on with what lies below them, so the table is read once: a row is a node, done
+    or still open.
+    """
+    rows = _start(df, doc, keep, root).withColumn("_done", F.lit(False))
+    carried = [*keep, "path", "shape", "parent", "key", "_v"]
+    for done in range(levels(df, doc) if depth is None else depth):
+        rows = _cut(rows, done)
+        # An open nested value gives itself, done, and a copy that is opened next.
+        twice = F.when(F.col("_done") | ~is_nested(F.col("_v")), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))
+        split = rows.select(*carried, F.explode(twice).alias("_done"))
+        child = F.when(~F.col("_done"), F.col("_v"))
+        opened = split.sparkSession.tvf.variant_explode_outer(child.outer()).toDF("_pos", "_key", "_child")
+        below, step = ~F.col("_done"), F.col("_key")
+        named = F.when(step.isNotNull(), F.concat(F.lit("."), step))
+        rows = split.lateralJoin(opened).where(F.col("_done") | F.col("_pos").isNotNull()).select(
+            *keep,
+            F.when(below, F.concat("path", F.coalesce(named, F.concat(F.lit("["), F.col("_pos").cast("string"), F.lit("]")))))
+            .otherwise(F.col("path")).alias("path"),
+            F.when(below, F.concat("shape", F.coalesce(named, F.lit("[]")))).otherwise(F.col("shape")).alias("shape"),
+            F.when(below, F.col("path")).otherwise(F.col("parent")).alias("parent"),
+            F.when(below, step).otherwise(F.col("key")).alias("key"),
+            F.when(below, F.col("_child")).otherwise(F.col("_v")).alias("_v"), "_done")
+    return rows.select(*keep, "path", "shape", "parent", "key", F.col("_v").alias("v"))
 
 
 def _steps(value, path: str = ""):

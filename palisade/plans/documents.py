@@ -187,12 +187,33 @@ SELECT CAST(2 * count(*) AS BIGINT) AS techniques, count(component) AS packages
 """))
 def _(spark, sf):
     docs = documents.parsed(bodies(spark, sf))
-    found = documents.leaves_any_depth(docs, F.col("doc"), ["source"])
+    found = documents.leaves(docs, F.col("doc"), ["source"])
     return found.agg(
         F.count_if(F.col("path").contains(".mitreAttackTtps[")).alias("techniques"),
         F.count_if(F.col("key") == "package").alias("packages"))
 
 
+# Documents of one to forty levels; every path of every document, leaf or not.
+@query("deep_documents", """
+WITH RECURSIVE e AS (SELECT event_id, CAST(1 + event_id % 40 AS INT) AS deep, event_type FROM events),
+w AS (SELECT event_id, deep, event_type, 0 AS level, 'data' AS path FROM e
+      UNION ALL SELECT event_id, deep, event_type, level + 1, path || CASE WHEN level % 2 = 0 THEN '.k' ELSE '[0]' END FROM w WHERE level < deep)
+SELECT path, CASE WHEN level = deep THEN 'leaf' WHEN level % 2 = 0 THEN 'object' ELSE 'array' END AS kind, count(*) AS documents,
+  max(CASE WHEN level = deep THEN event_type END) AS value FROM w GROUP BY 1, 2""")
+def _(spark, sf):
+    pairs = F.floor((1 + F.col("event_id") % 40) / 2).cast("int")
+    odd = (1 + F.col("event_id") % 40) % 2 == 1
+    inner = F.concat(F.lit('"'), "event_type", F.lit('"'))
+    body = F.concat(F.repeat(F.lit('{"k":['), pairs), F.when(odd, F.concat(F.lit('{"k":'), inner, F.lit("}"))).otherwise(inner),
+                    F.repeat(F.lit("]}"), pairs))
+    docs = read(spark, sf, "events").select("event_id", F.try_parse_json(body).alias("doc"))
+    value = F.col("v")
+    kind = F.when(json_text.is_object(value), "object").when(json_text.is_nested(value), "array").otherwise("leaf")
+    found = documents.fields(docs, F.col("doc"), ["event_id"])
+    return found.groupBy("path", kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("documents"), F.max(F.when(kind == "leaf", F.try_variant_get(value, "$", "string"))).alias("value"))
+
+
 @query("document_cves", _docs("""
 SELECT DISTINCT * FROM (SELECT 'findings/' || findingId || '.json' AS source,
   unnest([firstCve, secondCve, 'CVE-1999-0001']) AS cve FROM docs) WHERE cve IS NOT NULL"""))

@@ -144,14 +144,34 @@ def test_document_without_scanners(spark):
     assert quality.nested_columns(details.flat_details(found_details).schema) == []
 
 
-def test_both_walks_agree_and_depth_is_checked(spark):
-    rows = spark.createDataFrame([("1", '{"a":[1,{"b":"x","c":[]}],"d":null,"e":{}}')], "id string, body string")
+def test_leaves_at_any_depth(spark):
+    rows = spark.createDataFrame([("1", '{"a":[1,{"b":"x","c":[]}],"d":null,"e":{}}'), ("2", None), ("3", "[[[]]]"), ("4", "7")], "id string, body string")
     rows = rows.withColumn("doc", F.try_parse_json("body"))
-    flat = {(r["path"], r["value"]) for r in documents.leaves(rows, F.col("doc"), ["id"]).collect()}
-    deep = {(r["path"], r["value"]) for r in documents.leaves_any_depth(rows, F.col("doc"), ["id"]).collect()}
-    assert flat == deep == {("data.a[0]", "1"), ("data.a[1].b", "x"), ("data.a[1].c", "[]"), ("data.d", None), ("data.e", "{}")}
+    flat = {(r["id"], r["path"], r["value"]) for r in documents.leaves(rows, F.col("doc"), ["id"]).collect()}
+    assert flat == {("1", "data.a[0]", "1"), ("1", "data.a[1].b", "x"), ("1", "data.a[1].c", "[]"), ("1", "data.d", None), ("1", "data.e", "{}"),
+                    ("2", "data", None), ("3", "data[0][0]", "[]"), ("4", "data", "7")}
     with pytest.raises(Exception, match="nested deeper"):
         documents.leaves(rows, F.col("doc"), ["id"], depth=1).collect()
+    every = {(r["id"], r["path"], r["parent"], r["key"]) for r in documents.fields(rows, F.col("doc"), ["id"]).collect()}
+    assert every == {("1", "data", None, None), ("1", "data.a", "data", "a"), ("1", "data.a[0]", "data.a", None), ("1", "data.a[1]", "data.a", None),
+                     ("1", "data.a[1].b", "data.a[1]", "b"), ("1", "data.a[1].c", "data.a[1]", "c"), ("1", "data.d", "data", "d"),
+                     ("1", "data.e", "data", "e"), ("2", "data", None, None), ("3", "data", None, None), ("3", "data[0]", "data", None),
+                     ("3", "data[0][0]", "data[0]", None), ("4", "data", None, None)}
+
+
+@pytest.mark.parametrize("pairs", [20, 60])
+def test_deep_documents(spark, pairs):
+    """Forty levels in one scan; more in several steps."""
+    body = '{"k":[' * pairs + '"x"' + "]}" * pairs
+    rows = spark.createDataFrame([("1", body), ("2", '{"a]{":"[{"}')], "id string, body string").withColumn("doc", F.try_parse_json("body"))
+    assert documents.levels(rows, F.col("doc")) == 2 * pairs
+    found = documents.leaves(rows, F.col("doc"), ["id"])
+    assert {(r["id"], r["path"], r["value"]) for r in found.collect()} == {("1", "data" + ".k[0]" * pairs, "x"), ("2", "data.a]{", "[{")}
+    every = documents.fields(rows, F.col("doc"), ["id"])
+    assert every.count() == 2 * pairs + 1 + 2
+    if pairs == 20:
+        for frame in (found, every):
+            assert frame._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
 
 
 def test_cves_come_from_values_not_from_keys(spark):
