@@ -7,7 +7,9 @@ with the text, so that every byte of a text is seen once or twice. A document's
 For scoring, embeddings and filters are folded into tables by byte and by byte pair: a filter of width four is two look-ups.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0; so is everything if no labelled row can be
-learned from; shorter texts are padded with a byte that adds nothing; extra columns are ignored.
+learned from; shorter texts are padded with a byte that adds nothing; of languages with equal odds the first by name is taken;
+rows that repeat are each answered, and of an id with several texts the greatest is learned from; an empty table gives no rows;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +32,8 @@ SAMPLE_DOCS, SAMPLE_WINDOWS = 500, 6
 EPOCHS, BATCH, RATE, SEED = 8, 64, 0.01, 11
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+# Unicode's letters; digits in circles, fractions and Roman numeral signs are none.
+_LETTER = regex.compile(r"\p{L}")
 _SPACES = re.compile(r"\s+")
 
 
@@ -196,7 +200,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network:
     # sample_docs ids for each language: a proven size.
     chosen = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample_docs).select("doc_id", "lang")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    sample = rows.where(F.col("text").isNotNull()).dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    one = rows.where(F.col("text").isNotNull()).groupBy("doc_id").agg(F.max(F.struct("text", "lang")).alias("row"))
+    sample = one.select("doc_id", "row.text", "row.lang").toPandas().sort_values("doc_id")
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 

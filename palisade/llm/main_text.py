@@ -18,6 +18,7 @@ among themselves; repeated rows give repeated results; extra columns are ignored
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections import Counter
@@ -34,6 +35,7 @@ from palisade.session import written
 VOTES = 3
 # A path of one page alone is no consensus; that page's own best container says the same.
 VOTERS = 2
+# Steps of a path that are spelled out; what lies outside them is one hash, so different paths stay different.
 PATH_STEPS = 12
 # Broadcast bound: winning paths of all hosts.
 PATH_ROWS = 400_000
@@ -43,7 +45,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(?:>|\Z)|(?P<text>[^<]+|<)", re.S)
 ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
-RAW = frozenset("script style noscript template iframe svg math textarea title object canvas audio video".split())
+RAW = frozenset("script style noscript template iframe svg annotation annotation-xml textarea title object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTAINERS = frozenset("html body main article section div td center details".split())
 BLOCKS = CONTAINERS | frozenset(
@@ -164,7 +166,7 @@ def parse(source: str) -> Page:
             step = f"{tag}.{classes}" if classes else tag
             container = len(page.paths)
             page.parents.append(here)
-            page.paths.append(">".join([*page.paths[here].split(">"), step][-PATH_STEPS:]))
+            page.paths.append(_below(page.paths[here], step))
             page.bonus.append(0.2 if tag in ("article", "main") or said.get("role", "") in ("main", "article") else 0.1 if marks & CONTENT and not suspect else 0.0)
             page.weight.append(1.0)
             page.content.append(page.bonus[-1] > 0 and (marks.isdisjoint(FURNITURE) or _is_content(names)))
@@ -179,6 +181,15 @@ def parse(source: str) -> Page:
     return page
 
 
+def _below(path: str, step: str) -> str:
+    """The path of a container one step below another."""
+    steps = [*path.split(">"), step]
+    if len(steps) <= PATH_STEPS:
+        return ">".join(steps)
+    outer = hashlib.blake2b(">".join(steps[:2]).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+    return ">".join([f"~{outer}", *steps[2:]])
+
+
 def _is_content(names: str) -> bool:
     """Whether one of the names says content and nothing of furniture, as in class="post social-science"."""
     words = [set(_WORDS.split(name)) for name in names.split()]

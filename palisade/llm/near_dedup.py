@@ -9,8 +9,9 @@ off, the rest is confirmed on the full sets. Members that stay apart are compare
 the few that then still are in another component are compared with all members of the components they meet: pair by pair with
 small ones, block by block on full sets with large ones. So no link between two different sets of one group is lost. Components are min-label propagation over the confirmed links.
 
-Defined cases: null and empty texts have no shingles and stay alone; repeated rows belong to one class; a null id gets the
-class's component and is not kept; extra columns are ignored; no documents give no rows.
+Defined cases: null and empty texts have no shingles and stay alone; repeated rows belong to one class; of an id with several
+texts the greatest set of hashes stands where a pair is confirmed; a null id gets the class's component and is not kept; extra
+columns are ignored; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ LARGE, BLOCK = 16, 256
 # Set sizes are told apart by powers of two for the chance of agreement.
 GRADES = 21
 PERCENT = 80
-# The estimate may fall so far below the threshold (four standard deviations of 128 registers) before a pair is dropped.
-MARGIN = 0.15
+# The estimate may fall so many standard deviations below the threshold before a pair is dropped: one pair in a billion.
+DEVIATIONS = 6
 # Sets of fewer shingles fill too few buckets for an estimate; their pairs are all confirmed.
 ESTIMATE_FROM = 64
 # Broadcast bound in rows of (id, partner ids).
@@ -99,9 +100,14 @@ def estimated(ra: Column, rb: Column, na: Column, nb: Column) -> Column:
 
 
 def _likely(ra: Column, rb: Column, na: Column, nb: Column, percent: int) -> Column:
-    """Whether sizes and corrected estimate allow ``percent``. Small sets have no estimate."""
+    """Whether sizes and corrected estimate allow ``percent``. Small sets have no estimate.
+
+    Only the buckets that a set fills itself tell something, the others repeat them: n hashes fill 128 (1 - exp(-n / 128)).
+    """
     sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-    return sizes & F.when(F.least(na, nb) < ESTIMATE_FROM, True).otherwise(estimated(ra, rb, na, nb) >= percent / 100 - MARGIN)
+    filled = BUCKETS * (1 - F.exp(-F.least(na, nb) / BUCKETS))
+    margin = DEVIATIONS * F.sqrt(F.lit(percent / 100 * (1 - percent / 100)) / filled)
+    return sizes & F.when(F.least(na, nb) < ESTIMATE_FROM, True).otherwise(estimated(ra, rb, na, nb) >= percent / 100 - margin)
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
@@ -160,7 +166,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(rows[c], k) for c, k in kinds.items()], list(kinds))
 
     shipped = texts.select("doc_id", "text", "to", "own").mapInArrow(sets, "b long, a long, hashes binary")
-    ends_ = shipped.where("a is null").dropDuplicates(["b"]).select("b", F.col("hashes").alias("theirs"))
+    ends_ = shipped.where("a is null").groupBy("b").agg(F.max("hashes").alias("theirs"))
     meet = hot_safe_join(shipped.where("a is not null"), ends_, ["b"], keys_from=pairs)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -42,6 +42,9 @@ CARD = re.compile(r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-])")
 SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 PHONE = re.compile(
     r"(?<![\w.-])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{2,4}\) ?\d{3,4}[ -]?\d{3,4}|\d{3}-\d{3}-\d{4})(?!\w)")
+# Country calling codes of one and two digits; all others have three.
+CALLING_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86"
+                          " 90 91 92 93 94 95 98".split())
 NUMERIC = [("iban", IBAN), ("ssn", SSN), ("phone", PHONE), ("ip", IP), ("card", CARD)]
 
 
@@ -159,6 +162,13 @@ def _luhn(digits: str) -> int:
     return -total % 10
 
 
+def _country(phone: str) -> int:
+    """The characters of a canonical number that say its country: the plus sign and the calling code."""
+    if not phone.startswith("+"):
+        return 0
+    return next((1 + n for n in (1, 2) if phone[1 : 1 + n] in CALLING_CODES), 4)
+
+
 @lru_cache(maxsize=64)
 def _shuffled(key: str, gender: str, script: str, attempt: int) -> dict[str, str]:
     names = sorted(FIRST_NAMES[gender, script], key=lambda n: _digest(key, "name", attempt, n))
@@ -183,7 +193,7 @@ def surrogate(kind: str, canon: str, key: str, attempt: int = 0) -> str:
         where = canon.rindex(".")
         return reshaped(canon[:where], key, tweak) + canon[where:]
     if kind == "phone":
-        return reshaped(canon, key, tweak, fixed=max(0, len(canon) - 10))
+        return reshaped(canon, key, tweak, fixed=_country(canon))
     if kind == "first":
         return _shuffled(key, *GENDER_OF[canon], attempt)[canon]
     return reshaped(canon, key, tweak)
@@ -194,7 +204,7 @@ def canonical(kind: str, text: str) -> str:
     if kind == "email":
         return text.lower()
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", text)
+        return "+" * (kind == "phone" and text.startswith("+")) + re.sub(r"\D", "", text)
     return text.replace(" ", "") if kind == "iban" else text
 
 
@@ -203,7 +213,7 @@ def formatted(kind: str, text: str, new: str) -> str:
     if kind == "email":
         return "".join(n.upper() if t != t.lower() else n for t, n in zip(text, new, strict=True))
     if kind in ("phone", "card", "ssn", "iban"):
-        left = iter(new)
+        left = iter(new.removeprefix("+"))
         return "".join(next(left) if t.isalnum() else t for t in text)
     return new
 

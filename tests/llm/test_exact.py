@@ -242,3 +242,26 @@ def test_nearest_of_few_and_of_none(spark):
     two = table(spark, VECTORS, [(0, [1.0, 0.0], 1), (1, [0.0, 1.0], 1)])
     assert [tuple(r) for r in neighbours.nearest(two, lambda v: v % 20 == 0).collect()] == [(0, 1, 1, 0.0)]
     assert neighbours.nearest(table(spark, VECTORS, []), lambda v: v % 20 == 0).collect() == []
+
+
+def test_estimate_keeps_what_reaches_the_threshold(spark):
+    """Pairs of exactly four fifths, from the smallest sets that are estimated on."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for n in (64, 66, 80, 120, 200, 400, 900):
+        for _ in range(250):
+            union = -(-n * 10 // 9)
+            hashes = rng.integers(0, 2**64, size=union, dtype=np.uint64)
+            both = -(-80 * union // 100)
+            x = np.sort(hashes[: both + (union - both) // 2])
+            y = np.sort(np.concatenate([hashes[:both], hashes[both + (union - both) // 2 :]]))
+            rows.append((len(x), len(y), *[near_dedup.registers(s).view("<u8").astype(np.int64).tolist() for s in (x, y)]))
+    frame = spark.createDataFrame(rows, "na long, nb long, ra array<long>, rb array<long>")
+    kept = frame.where(near_dedup._likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), 80)).count()
+    assert kept == len(rows)
+    far = [(500, 500, *[near_dedup.registers(np.sort(rng.integers(0, 2**64, size=500, dtype=np.uint64))).view("<u8").astype(np.int64).tolist() for _ in "ab"])
+           for _ in range(50)]
+    assert spark.createDataFrame(far, frame.schema).where(near_dedup._likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), 80)).count() == 0

@@ -132,6 +132,14 @@ def test_language(spark, no_docs):
     assert [(r["lang_pred"], r["score"]) for r in alone] == [("und", 0.0)]
 
 
+def test_texts_without_letters_have_no_language(spark):
+    rows = [(k, "some words of one language", "aa", None, None) for k in range(40)] + [(100 + k, "andere woerter hier", "bb", None, None) for k in range(40)]
+    odd = ["²", "½ ①", "Ⅷ ⑳", "5 € §", "ª", "中"]
+    found = language.languages(table(spark, DOCS, rows + [(500 + k, t, None, None, None) for k, t in enumerate(odd)]))
+    got = {r["doc_id"]: r["lang_pred"] for r in found.collect()}
+    assert [got[500 + k] == "und" for k in range(len(odd))] == [True, True, True, True, False, False]
+
+
 def test_network_tables_equal_the_convolution():
     net = language.fit(["ab cd " * 60, "xy zz " * 50], ["p", "q"], epochs=1)
     rows = language.windows(language.text_bytes("abc xyz " * 100))
@@ -209,6 +217,21 @@ def test_consensus_drops_nothing_of_the_page_and_holds_for_every_template(spark)
     assert text[500] == ("the story " * 10 + "a quote box " * 10).strip()
 
 
+def test_paths_of_different_containers_differ():
+    """However deep the page is: the outer steps are hashed, not cut."""
+    page = main_text.parse("".join(f'<div class="{a}"><div class="w">' * 1 + "<div>" * 18 + "text" + "</div>" * 20 for a in ("left", "right")))
+    assert len(page.paths) == 41 and len(set(page.paths)) == len(page.paths)
+    assert max(len(p.split(">")) for p in page.paths) <= main_text.PATH_STEPS
+    again = main_text.parse('<div class="left"><div class="w">' + "<div>" * 18 + "other" + "</div>" * 20)
+    assert set(again.paths) <= set(page.paths)
+
+
+def test_formulas_stay():
+    page = ('<body><nav>menu</nav><article><p>Let <math><mi>x</mi><annotation encoding="TeX">\\x</annotation></math> be <math><mn>4</mn></math>.</p>'
+            "<form>send</form></article></body>")
+    assert main_text.extracted(page, []) == "Let x be 4."
+
+
 def test_page_of_suspects_only_is_not_empty():
     page = '<body><nav>menu</nav><div class="sidebar">one two</div><div class="menu">three</div><div id="share">four five</div></body>'
     assert main_text.extracted(page, []) == "one two three four five"
@@ -240,6 +263,15 @@ def test_surrogates_keep_kind_format_and_coreference():
     assert surrogates.rewritten(clean, "k", {}) == (clean, [])
 
 
+@pytest.mark.parametrize(("number", "code"), [("+49 30 1234567", "+49"), ("+44 20 7946 0958", "+44"), ("+420 221 111 222", "+420"), ("+1 (017) 555-7713", "+1"),
+                                              ("+7 495 123 45 67", "+7")])
+def test_phones_keep_their_country(number, code):
+    for key in "abcdef":
+        new, found = surrogates.rewritten(f"Call {number}!", key, {})
+        assert [k for _, _, k in found] == ["phone"]
+        assert new.startswith(f"Call {code} ") and new != f"Call {number}!" and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"Call {number}!")
+
+
 @pytest.mark.parametrize("name", ["McDonald", "O'Brien", "O’Neill", "Wałęsa", "Dvořák", "Παπαδόπουλος", "王伟", "MacArthur-Łoś"])
 def test_names_of_any_letters_behind_a_title(name):
     text = f"We met Dr {name} and then {name}'s friend."
