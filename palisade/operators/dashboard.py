@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palisade import fixed_values as fixed
@@ -12,6 +13,7 @@ from palisade.functions.json_text import names_of, part
 from palisade.functions.nulls import blank_to_null, zero_if_null
 from palisade.functions.text import internet_facing, split_cves
 from palisade.operators.skew import hot_safe_join, top_per_key
+from palisade.session import written
 
 
 def _column(df: DataFrame, name: str, kind: str = "string"):
@@ -147,29 +149,68 @@ def server_findings(findings: DataFrame, assets: DataFrame) -> DataFrame:
     return by_id.unionByName(by_name).distinct()
 
 
+OPENING = 45
+# Bytes of the patterns of one automaton, and texts that one task looks through with it.
+SHARD_BYTES, TEXTS_A_TASK = 32 << 20, 50_000
+
+
+def contained(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(text, pattern): every pattern that occurs in a text; both sides have distinct rows that are not empty.
+
+    An Aho-Corasick automaton finds all patterns of a shard in one pass over a text, however many there are. Shards are sized by
+    the patterns' bytes and texts are dealt over tasks, so that a task holds one automaton and its own texts. ``texts`` is read
+    twice: give a written table.
+    """
+    def found(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        import ahocorasick
+
+        if not len(left) or not len(right):
+            return pd.DataFrame({"text": [], "pattern": []}, dtype=object)
+        automaton = ahocorasick.Automaton()
+        for pattern in right["pattern"]:
+            automaton.add_word(pattern, pattern)
+        automaton.make_automaton()
+        pairs = [(text, pattern) for text in left["text"] for pattern in {p for _, p in automaton.iter(text)}]
+        return pd.DataFrame(pairs, columns=["text", "pattern"])
+
+    size = patterns.agg(F.sum(F.octet_length("pattern"))).first()[0] or 0
+    shards, deals = 1 + size // SHARD_BYTES, 1 + texts.count() // TEXTS_A_TASK
+    left = texts.select("text", F.pmod(F.xxhash64("text"), F.lit(deals)).alias("deal"),
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
+    right = patterns.select("pattern", F.pmod(F.xxhash64("pattern"), F.lit(shards)).alias("shard"),
+                            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))).alias("deal"))
+    return left.groupBy("shard", "deal").cogroup(right.groupBy("shard", "deal")).applyInPandas(found, "text string, pattern string")
+
+
+def joined_pieces(findings: DataFrame) -> DataFrame:
+    """(assetId, text): the text of each finding and as much of what follows in its asset's joined text as an opening can reach into.
+
+    The findings of an asset are joined by spaces in the order of their ids, remediation before CVE id. A match that starts in
+    one finding lies inside its piece, wherever it ends.
+    """
+    text = F.lower(F.concat_ws(" ", F.coalesce("remediation", F.lit("")), F.coalesce("cve", F.lit(""))))
+    rows = findings.select("assetId", "findingId", text.alias("own"))
+    # Every finding brings at least a space of its own and one in front of it.
+    after = Window.partitionBy("assetId").orderBy("findingId").rowsBetween(1, OPENING // 2 + 1)
+    tail = F.left(F.array_join(F.collect_list(F.left("own", F.lit(OPENING))).over(after), " "), F.lit(OPENING - 1))
+    return rows.select("assetId", F.concat("own", F.lit(" "), tail).alias("text")).distinct()
+
+
 def related_remediations(findings: DataFrame, remediations: DataFrame, assets: DataFrame, top: int = 5) -> DataFrame:
-    """Up to ``top`` remediations per asset whose opening text occurs in a finding of the asset, else the global top.
+    """Up to ``top`` remediations per asset whose opening occurs in the joined text of its findings, else the global top.
 
-    The opening is the first 45 characters of texts longer than 20. Containment becomes an equi join: the distinct
-    finding texts are cut into pieces of the opening lengths that exist, so only true matches meet. At most ``top``
-    remediations per opening can reach a result, which bounds the matches of a common opening.
+    The opening is the first 45 characters of texts longer than 20. At most ``top`` remediations per opening, and per piece of
+    text, can reach a result, which bounds the matches of a common opening.
     """
     text = F.lower("remediation")
     order = [zero_if_null(F.col("maxTrs")).desc(), F.col("remediationKey").asc()]
     openings = remediations.where(F.length("remediation") > 20).select(
-        F.left(text, F.lit(45)).alias("opening"), "remediationKey", "maxTrs")
-    best = top_per_key(openings, ["opening"], order, top, "_place").drop("_place")
-    own = findings.select("assetId", F.lower(F.concat_ws(
-        " ", F.coalesce("remediation", F.lit("")), F.coalesce("cve", F.lit("")))).alias("text")).distinct()
-    lengths = openings.agg(F.collect_set(F.length("opening")).alias("l")).scalar()
-    pieces = (
-        own.select("text").distinct()
-        .select("text", F.explode(lengths).alias("size")).where(F.length("text") >= F.col("size"))
-        .select("text", "size", F.explode(F.sequence(F.lit(1), F.length("text") - F.col("size") + 1)).alias("start"))
-        .select("text", F.substring("text", F.col("start"), F.col("size")).alias("opening")).distinct())
+        F.left(text, F.lit(OPENING)).alias("pattern"), "remediationKey", "maxTrs")
+    best = written(top_per_key(openings, ["pattern"], order, top, "_place").drop("_place"), "openings")
+    own = written(joined_pieces(findings), "pieces")
+    pairs = contained(own.select("text").distinct(), best.select("pattern").distinct())
     matched_text = top_per_key(
-        pieces.join(best, "opening").select("text", "remediationKey", "maxTrs").distinct(),
-        ["text"], order, top, "_place").drop("_place")
+        hot_safe_join(pairs, best, ["pattern"]).select("text", "remediationKey", "maxTrs").distinct(), ["text"], order, top, "_place").drop("_place")
     direct = own.join(matched_text, "text").select("assetId", "remediationKey", "maxTrs").distinct()
     chosen = top_per_key(direct, ["assetId"], order, top, "place")
     fallback = remediations.orderBy(*order).limit(top).agg(F.array_sort(F.collect_list(F.struct(

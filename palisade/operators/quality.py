@@ -180,6 +180,16 @@ def output_report(datasets: dict[str, DataFrame]) -> DataFrame:
         for name, df in datasets.items()])
 
 
+def file_errors(report: DataFrame, expected: list[str], allow_missing: bool = False) -> DataFrame:
+    """What must stop a publication of files, from their footers: missing datasets, unless allowed, and nested columns."""
+    wanted = report.sparkSession.createDataFrame([(name,) for name in expected], "dataset string")
+    missing = wanted.join(report, "dataset", "left_anti").select(F.concat(F.lit("missing: "), "dataset").alias("error"))
+    nested = report.where("nested").groupBy("dataset").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("place", "field"))), lambda x: x["field"]), "|").alias("fields"))
+    found = nested.select(F.concat(F.lit("nested columns in "), "dataset", F.lit(": "), "fields").alias("error"))
+    return found if allow_missing else missing.unionByName(found)
+
+
 def blocking_errors(report: DataFrame, checks: DataFrame) -> DataFrame:
     """What must stop a publication: nested columns and failed uniqueness checks."""
     nested = report.where("complexColumns <> ''").select(

@@ -15,6 +15,8 @@ from palisade.plans.registry import query
 from palisade.plans.scalar_rules import PRIORITY_SCORE_SQL
 from palisade.plans.silver_gold import REMEDIATION_SUMMARY_SQL, facts, merged
 from palisade.plans.worklists import PLAN_SUMMARY_SQL, _plan, plan_rows
+from palisade.session import new_folder
+from palisade.sources import files, sinks
 
 c = F.col
 
@@ -179,6 +181,46 @@ def _(spark, sf):
     return quality.blocking_errors(report, quality.uniqueness(lens(spark, sf, "search"), ["findingId"], "search finding"))
 
 
+# --- validation of written tables ----------------------------------------------------------
+_VALIDATED = {"customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+              "labels": ("doc_id", "quality", "toxic"), "documents": ("doc_id", "text", "lang", "source", "n_chars"),
+              "embeddings": ("vec_id", "embedding", "label")}
+
+
+@query("output_validation", " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, '{n}' AS field, {str(n == 'embedding').lower()} AS nested, count(*) AS rows,
+  {'CAST(NULL AS DOUBLE)' if n == 'embedding' else f'round(100.0 * count(*) FILTER ({n} IS NULL) / nullif(count(*), 0), 2)'} AS "nullPercent" FROM {t}"""
+    for t, names in _VALIDATED.items() for n in names))
+def _(spark, sf):
+    return files.footer_report(spark, sf, [f"{t}.parquet" for t in _VALIDATED]).select(
+        F.regexp_replace("dataset", "[.]parquet$", "").alias("dataset"), "field", "nested", "rows", "nullPercent")
+
+
+@query("output_errors", """
+SELECT 'missing: absent.parquet' AS error FROM labels GROUP BY 1 UNION ALL SELECT 'nested columns in embeddings.parquet: embedding' FROM embeddings GROUP BY 1
+""")
+def _(spark, sf):
+    names = ["labels.parquet", "absent.parquet", "embeddings.parquet"]
+    return quality.file_errors(files.footer_report(spark, sf, names), names)
+
+
+@query("run_manifest", """
+SELECT 'completed_with_errors' AS status, counter, CAST(value AS BIGINT) AS value FROM (
+  SELECT 'documentsRead' AS counter, count(*) AS value FROM events UNION ALL SELECT 'documentsWritten', count(*) FILTER (event_id % 6 = 0) FROM events
+  UNION ALL SELECT 'documentsFailed', count(*) FILTER (event_id % 6 <> 0) FROM events
+  UNION ALL SELECT 'rowsOnDisk', count(*) FILTER (event_id % 6 = 0) FROM events)""")
+def _(spark, sf):
+    kind = c("event_id") % 6
+    body = F.when(kind == 0, F.concat(F.lit('{"findingId":"f","data":'), "props", F.lit("}"))).when(kind < 3, F.lit('{"findingId":1}')).otherwise("[")
+    checked = documents.envelopes(read(spark, sf, "events").select("event_id", body.alias("body")))
+    path = new_folder(spark, "run")
+    entry = sinks.observed_run(
+        checked, path, "run", keep=c("valid"), read="documentsRead", wrote="documentsWritten", failed="documentsFailed", drop=["doc", "valid"])
+    on_disk = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("completed_with_errors").alias("status"), F.lit("rowsOnDisk").alias("counter"), "value")
+    return entry.select("status", F.explode("counters").alias("counter", "value")).unionByName(on_disk)
+
+
 # --- search --------------------------------------------------------------------------------
 @query("resolve_asset", oracle("""
 SELECT assetId, hostname FROM assets WHERE lower(hostname) = 'customer-000000042.any' OR split_part(lower(hostname), '.', 1) = 'customer-000000042'
@@ -415,7 +457,7 @@ UNION ALL SELECT s.assetId, remediationKey, place, false FROM summary s, best WH
 """, "instances", "facts", extra={
         "summary": _SUM, "crit": _CRIT, "rs": REMEDIATION_SUMMARY_SQL,
         "openings": "SELECT remediationKey, maxTrs, left(lower(remediation), 45) AS o FROM rs WHERE length(remediation) > 20",
-        "texts": "SELECT DISTINCT assetId, lower(coalesce(remediation, '') || ' ' || coalesce(cve, '')) AS t FROM crit",
+        "texts": "SELECT assetId, string_agg(lower(coalesce(remediation, '') || ' ' || coalesce(cve, '')), ' ' ORDER BY findingId) AS t FROM crit GROUP BY assetId",
         "hits": "SELECT DISTINCT assetId, remediationKey, maxTrs FROM texts JOIN openings ON contains(t, o)",
         "ranked": "SELECT *, row_number() OVER (PARTITION BY assetId ORDER BY coalesce(maxTrs, 0) DESC, remediationKey) AS place FROM hits",
         "best": "SELECT remediationKey, maxTrs, row_number() OVER (ORDER BY coalesce(maxTrs, 0) DESC, remediationKey) AS place FROM rs"}))
