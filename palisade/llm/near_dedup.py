@@ -36,8 +36,9 @@ LARGE, BLOCK = 16, 256
 # Set sizes are told apart by powers of two for the chance of agreement.
 GRADES = 21
 PERCENT = 80
-# The estimate may fall so many standard deviations below the threshold before a pair is dropped: one pair in a billion.
-DEVIATIONS = 6
+# The estimate may fall so many standard deviations below the threshold before a pair is dropped: of pairs exactly at the
+# threshold one in 300 000. A wider margin confirms many times more pairs of large groups that are nearly similar.
+DEVIATIONS = 4.5
 # Sets of fewer shingles fill too few buckets for an estimate; their pairs are all confirmed.
 ESTIMATE_FROM = 64
 # Broadcast bound in rows of (id, partner ids).
