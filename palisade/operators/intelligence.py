@@ -148,10 +148,14 @@ def components(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
 
     Versions and findings are child rows: :func:`component_versions`, :func:`component_findings`.
     """
+    return described_components(component_findings(component_rows, findings))
+
+
+def described_components(linked: DataFrame) -> DataFrame:
     described = ("vendor", "product", "component", "package", "ecosystem", "language")
     best = F.min_by(
         F.struct(*described), F.struct(-zero_if_null(F.col("trs")), F.col("findingId"), F.col("scanner")))
-    return component_findings(component_rows, findings).groupBy("assetId", "componentId").agg(
+    return linked.groupBy("assetId", "componentId").agg(
         best.alias("b"),
         F.count(F.lit(1)).alias("findingCount"),
         F.count_distinct("sourcePayloadReference").alias("sourcePayloads"),
@@ -160,15 +164,22 @@ def components(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
 
 def component_versions(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
     """The distinct installed and required versions of a component, as rows."""
+    return linked_versions(component_findings(component_rows, findings))
+
+
+def linked_versions(linked: DataFrame) -> DataFrame:
     both = F.array(F.struct(F.lit("installed").alias("kind"), F.col("installedVersion").alias("version")),
                    F.struct(F.lit("required").alias("kind"), F.col("requiredVersion").alias("version")))
-    rows = component_findings(component_rows, findings).select("assetId", "componentId", F.inline(both))
+    rows = linked.select("assetId", "componentId", F.inline(both))
     return rows.where("version <> ''").distinct()
 
 
 def component_risk(component_rows: DataFrame, findings: DataFrame) -> DataFrame:
     """Name, entries, distinct CVEs and priorities per component."""
-    linked = component_findings(component_rows, findings)
+    return linked_risk(component_findings(component_rows, findings))
+
+
+def linked_risk(linked: DataFrame) -> DataFrame:
     order = F.struct(-zero_if_null(F.col("trs")), F.col("findingId"), F.col("scanner"))
     counted = linked.groupBy("assetId", "componentId").agg(
         F.min_by(F.struct("component", "package", "product"), order).alias("b"),
@@ -351,8 +362,8 @@ def sources(findings: DataFrame, assets: DataFrame, platform: str = "Platform")
         "assetId", F.coalesce("_last", "lastSeen").alias("retrievedAt"))
     scanners = findings.select("assetId", "scanner").distinct().select(
         "assetId", F.lit("SCANNER").alias("type"), F.col("scanner").alias("name"))
-    own = latest.select("assetId", F.lit("PLATFORM").alias("type"), F.lit(platform).alias("name"))
-    return own.unionByName(scanners).join(latest, "assetId")
+    own = latest.select("assetId", F.lit("PLATFORM").alias("type"), F.lit(platform).alias("name"), "retrievedAt")
+    return own.unionByName(scanners.join(latest, "assetId"))
 
 
 def asset_risk_history(assets: DataFrame, history: DataFrame) -> DataFrame:
