@@ -10,6 +10,8 @@ from palisade import fixed_values as fixed
 from palisade.functions.evidence_text import has_secret
 from palisade.functions.json_text import is_json
 from palisade.functions.nulls import is_filled
+from palisade.operators.skew import top_per_key
+from palisade.session import written
 
 
 def _rule(rows: DataFrame, rule: str, entity: Column, detail: Column | None = None) -> DataFrame:
@@ -165,6 +167,85 @@ def completeness_report(comparisons: list[DataFrame]) -> DataFrame:
     return rows.withColumn("status", F.when(whole.scalar(), "COMPLETE").otherwise("INCOMPLETE"))
 
 
+AUDIT_BUCKETS = 4096
+
+
+def _audit_key(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        moment = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        return F.coalesce(F.concat(F.regexp_replace(moment, "[.]000000$", ""), F.lit("Z")), F.lit(""))
+    return F.coalesce(column.cast("string"), F.lit(""))
+
+
+def tagged_keys(tables: dict[str, DataFrame], domains: dict[str, tuple[str, tuple[str, ...]]], buckets: int) -> DataFrame:
+    """(domain, key, bucket) of every row of every domain; a key is the JSON list of its fields, null as empty text."""
+    out = None
+    for domain, (table, names) in domains.items():
+        df = tables[table]
+        key = F.to_json(F.array(*[_audit_key(F.col(n), df.schema[n].dataType) for n in names]))
+        rows = df.select(F.lit(domain).alias("domain"), key.alias("key"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumn("bucket", F.pmod(F.xxhash64("domain", "key"), F.lit(buckets)))
+
+
+def differing_buckets(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Buckets whose keys are not the same on both sides, by a count and two sums of hashes that no order of rows changes.
+
+    Only sums leave the tasks: as many rows as there are domains times buckets, however large the tables are. A bucket with equal keys
+    but other repetitions differs too; it is opened in vain, which costs time and changes nothing.
+    """
+    def sums(rows: DataFrame, sign: int) -> DataFrame:
+        one, two = F.xxhash64("key", "domain"), F.xxhash64(F.md5("key"))
+        return rows.select("domain", "bucket", *[
+            (F.lit(sign) * value.cast("decimal(20,0)")).alias(name) for name, value in (("n", F.lit(1)), ("one", one), ("two", two))])
+
+    both = sums(expected, 1).unionByName(sums(actual, -1)).groupBy("domain", "bucket").agg(*[F.sum(n).alias(n) for n in ("n", "one", "two")])
+    return both.where("n <> 0 OR one <> 0 OR two <> 0").select("domain", "bucket")
+
+
+def audited_keys(raw: dict[str, DataFrame], structured: dict[str, DataFrame], domains: dict[str, tuple[str, tuple[str, ...]]],
+                 buckets: int = AUDIT_BUCKETS) -> DataFrame:
+    """(domain, key, inRaw, inStructured): the distinct keys of all domains, with one exchange of keys for all of them.
+
+    Fingerprints tell which buckets agree. Of those only the raw side's keys are moved; buckets that differ are opened on both sides.
+    """
+    expected, actual = tagged_keys(raw, domains, buckets), tagged_keys(structured, domains, buckets)
+    # At most domains times buckets rows: the bound of the broadcast.
+    opened = F.broadcast(written(differing_buckets(expected, actual).withColumn("_opened", F.lit(True)), "opened-buckets"))
+    left = expected.join(opened, ["domain", "bucket"], "left").select(
+        "domain", "key", F.lit(True).alias("inRaw"), F.col("_opened").isNull().alias("inStructured"))
+    right = actual.join(opened.drop("_opened"), ["domain", "bucket"], "left_semi").select(
+        "domain", "key", F.lit(False).alias("inRaw"), F.lit(True).alias("inStructured"))
+    return left.unionByName(right).groupBy("domain", "key").agg(
+        F.bool_or("inRaw").alias("inRaw"), F.bool_or("inStructured").alias("inStructured"))
+
+
+def mapping_report(keys: DataFrame, domains: dict[str, tuple[str, tuple[str, ...]]], invalid: DataFrame | None = None) -> DataFrame:
+    """One row per domain, also where it has no key: keys on either side, coverage (100 when nothing is expected), overall status.
+
+    COMPLETE when no domain misses a key and, if ``invalid`` is given, no document was invalid. ``keys`` is read twice: give a written table.
+    """
+    both = F.col("inRaw") & F.col("inStructured")
+    counted = keys.groupBy("domain").agg(
+        F.count_if("inRaw").alias("availableRaw"), F.count_if("inStructured").alias("structured"), F.count_if(both).alias("matched"))
+    names = keys.sparkSession.createDataFrame([(name,) for name in domains], "domain string")
+    rows = names.join(F.broadcast(counted), "domain", "left").fillna(0)
+    whole = keys.agg(F.count_if(F.col("inRaw") & ~F.col("inStructured")).alias("n")).scalar() == 0
+    if invalid is not None:
+        whole = whole & (invalid.agg(F.count(F.lit(1))).scalar() == 0)
+    return rows.select(
+        "domain", "availableRaw", "structured", "matched", (F.col("availableRaw") - F.col("matched")).alias("missing"),
+        (F.col("structured") - F.col("matched")).alias("unexpected"),
+        F.when(F.col("availableRaw") > 0, F.round(100.0 * F.col("matched") / F.col("availableRaw"), 2)).otherwise(100.0).alias("coveragePct"),
+        F.when(whole, "COMPLETE").otherwise("INCOMPLETE").alias("status"))
+
+
+def mapping_examples(keys: DataFrame, n: int = 10) -> DataFrame:
+    """The first ``n`` missing and the first ``n`` unexpected keys of every domain, as rows; the cap is the feature."""
+    odd = keys.where("inRaw <> inStructured").select("domain", F.when(F.col("inRaw"), "missing").otherwise("unexpected").alias("kind"), "key")
+    return top_per_key(odd, ["domain", "kind"], [F.col("key")], n, "place")
+
+
 def nested_columns(schema: T.StructType) -> list[str]:
     """Columns a flat sink must not have."""
     return [f.name for f in schema.fields if isinstance(
