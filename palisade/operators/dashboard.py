@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from palisade import fixed_values as fixed
 from palisade.functions import scoring
-from palisade.functions.dates import age_days
+from palisade.functions.dates import age_days, day_boundaries
 from palisade.functions.json_text import names_of, part
 from palisade.functions.nulls import blank_to_null, zero_if_null
 from palisade.functions.text import internet_facing, split_cves
@@ -221,20 +221,40 @@ def related_remediations(findings: DataFrame, remediations: DataFrame, assets: D
     return chosen.withColumn("direct", F.lit(True)).unionByName(rest.withColumn("direct", F.lit(False)))
 
 
-def key_figures(assets: DataFrame, findings: DataFrame, cves: DataFrame, remediations: DataFrame) -> DataFrame:
-    """The one-row overview."""
-    own = assets.agg(
-        F.count(F.lit(1)).alias("assets"), F.count_if(F.col("maxFindingTrs") >= 900).alias("criticalAssets"),
-        F.max("maxFindingTrs").alias("maxTrs"), F.sum(F.coalesce("cisaKevFindings", F.lit(0))).alias("kevFindings"),
-        F.count_if(blank_to_null(F.col("ipAddress")).isNull()).alias("assetsWithoutIp"),
-        F.greatest(F.lit(0), F.max(F.coalesce("oldestFindingDays", F.lit(0)))).alias("oldestFindingDays"))
-    return own.withColumns({
-        "findings": findings.agg(F.count(F.lit(1))).scalar(),
-        "cves": cves.agg(F.count(F.lit(1))).scalar(),
-        "cvesCvss9": cves.agg(F.count_if(zero_if_null(F.col("maxCvss")) >= 9)).scalar(),
-        "actions": remediations.agg(F.count(F.lit(1))).scalar(),
-        "p1Actions": remediations.agg(F.count_if(F.col("priority") == "P1")).scalar(),
-    })
+def kev_signals(raw_findings: DataFrame) -> DataFrame:
+    """One row per raw finding that is known to be exploited, as ``cisaKevFindings`` of its asset."""
+    return raw_findings.where(F.try_variant_get("doc", F.lit("$.cisaKev"), "boolean")).select(
+        "assetId", F.lit(1).cast("bigint").alias("cisaKevFindings"))
+
+
+def key_figures(assets: DataFrame, facts: DataFrame, signals: DataFrame, as_of: str, threshold: float = fixed.CRITICAL_TRS) -> DataFrame:
+    """The one-row overview, from one pass over the facts.
+
+    Facts, assets and signals are one stream, grouped by asset, by CVE and by remediation text at once; every figure is then a count,
+    sum or maximum over the groups. Rows that have no CVE or no text fall into one empty group each, which the map tasks reduce to a
+    row of their own, so it never grows into a hot key.
+    """
+    text = F.lower(F.trim("remediation"))
+    stream = facts.select(
+        "assetId", "cve", F.when(text != "", text).alias("text"), "hyScoreV2", "cvssScore", "firstSeen", F.lit(1).cast("bigint").alias("facts"),
+        F.coalesce((F.col("hyScoreV2") >= threshold) | (F.upper("severity") == "CRITICAL"), F.lit(False)).alias("critical"),
+    ).unionByName(
+        assets.select("assetId", F.lit(True).alias("known"), blank_to_null(F.col("ipAddress")).alias("ip")), allowMissingColumns=True
+    ).unionByName(signals.select("assetId", "cisaKevFindings"), allowMissingColumns=True)
+    groups = stream.groupingSets([["assetId"], ["cve"], ["text"]], "assetId", "cve", "text").agg(
+        F.grouping("assetId").alias("_a"), F.sum("facts").alias("n"), F.count_if("critical").alias("critical"), F.max("hyScoreV2").alias("trs"),
+        F.max("cvssScore").alias("cvss"), F.min("firstSeen").alias("first"), F.bool_or("known").alias("known"), F.max("ip").alias("ip"),
+        F.sum("cisaKevFindings").alias("kev"))
+    asset = (F.col("_a") == 0) & F.col("known") & (F.col("n") > 0)
+    cve, action = F.col("cve").isNotNull(), F.col("text").isNotNull()
+    return groups.agg(
+        F.count_if(asset).alias("assets"), F.count_if(asset & (F.col("trs") >= 900)).alias("criticalAssets"),
+        F.max(F.when(asset, F.col("trs"))).alias("maxTrs"), F.sum(F.when(asset, F.coalesce("kev", F.lit(0)))).alias("kevFindings"),
+        F.count_if(asset & F.col("ip").isNull()).alias("assetsWithoutIp"),
+        F.greatest(F.lit(0), F.max(F.when(asset, day_boundaries(F.col("first"), as_of)))).alias("oldestFindingDays"),
+        F.coalesce(F.sum(F.when(asset, F.col("critical"))), F.lit(0)).alias("findings"), F.count_if(cve).alias("cves"),
+        F.count_if(cve & (zero_if_null(F.col("cvss")) >= 9)).alias("cvesCvss9"), F.count_if(action).alias("actions"),
+        F.count_if(action & (scoring.priority(F.col("trs"), F.col("cvss")) == "P1")).alias("p1Actions"))
 
 
 def risk_histogram(assets: DataFrame) -> DataFrame:

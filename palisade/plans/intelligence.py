@@ -12,6 +12,7 @@ from palisade.plans.documents import DETAIL_COLUMNS, DOCS_SQL
 from palisade.plans.lens import AS_OF, lens, oracle
 from palisade.plans.registry import query
 from palisade.plans.silver_gold import facts
+from palisade.session import written
 
 _AGE = f"greatest(0, CAST(floor(date_diff('second', firstSeen, TIMESTAMP '{AS_OF}') / 86400) AS BIGINT))"
 _BASE = r"""SELECT m.assetId, m.findingId,
@@ -276,7 +277,7 @@ USING (assetId)"""
 
 @query("asset_posture", sql(_PX))
 def _(spark, sf):
-    found = findings(spark, sf)
+    found = written(findings(spark, sf).drop("riskDrivers"), "findings")
     return intel.posture(found, intel.vulnerabilities(found))
 
 
@@ -288,7 +289,7 @@ FROM (SELECT *, coalesce(trs, 0) AS t, row_number() OVER (PARTITION BY assetId O
 
 @query("risk_concentration", sql(_RX))
 def _(spark, sf):
-    return intel.concentration(findings(spark, sf))
+    return intel.concentration(written(findings(spark, sf).select("assetId", "findingId", "trs", "priority"), "findings"))
 
 
 _QX = """SELECT assetId, round_even(100 * sum(CAST(title <> '' AS INT) + CAST(firstSeen IS NOT NULL AS INT) + CAST(lastSeen IS NOT NULL AS INT)

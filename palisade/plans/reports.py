@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from palisade.functions import json_text
-from palisade.operators import dashboard, digest, documents, gold, quality, search
+from palisade.operators import dashboard, digest, documents, gold, quality, search, silver
 from palisade.operators import intelligence as intel
 from palisade.operators.silver import bridge
 from palisade.plans.documents import _docs, bodies
@@ -15,7 +15,7 @@ from palisade.plans.registry import query
 from palisade.plans.scalar_rules import PRIORITY_SCORE_SQL
 from palisade.plans.silver_gold import REMEDIATION_SUMMARY_SQL, facts, merged
 from palisade.plans.worklists import PLAN_SUMMARY_SQL, _plan, plan_rows
-from palisade.session import new_folder
+from palisade.session import new_folder, written
 from palisade.sources import files, sinks
 
 c = F.col
@@ -475,8 +475,9 @@ SELECT (SELECT count(*) FROM wide) AS assets, (SELECT count(*) FROM wide WHERE "
   (SELECT count(*) FROM rs) AS actions, (SELECT count(*) FROM rs WHERE priority = 'P1') AS "p1Actions"
 """, "instances", "facts", extra={**_DASH, "crit": _CRIT, "cs": _CVE_SUMMARY, "rs": REMEDIATION_SUMMARY_SQL}))
 def _(spark, sf):
-    return dashboard.key_figures(
-        wide(spark, sf), critical(spark, sf), cve_summary(spark, sf), gold.remediation_summary(facts(spark, sf)))
+    assets = lens(spark, sf, "assets")
+    pairs = written(merged(spark, sf), "merged")
+    return dashboard.key_figures(assets, silver.facts(pairs, assets), dashboard.kev_signals(raw_findings(spark, sf)), AS_OF)
 
 
 @query("risk_histogram", oracle("""
