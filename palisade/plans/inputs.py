@@ -12,8 +12,9 @@ from palisade.plans.lens import TABLES, lens, oracle, read
 from palisade.plans.registry import query
 from palisade.plans.silver_gold import merged
 from palisade.session import new_folder
-from palisade.sources import export, files, sinks
+from palisade.sources import dataset_profile, export, files, sinks
 from palisade.streaming import findings as streams
+from palisade.streaming import quiet_keys
 
 c = F.col
 STAMP = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -140,6 +141,36 @@ def _(spark, sf):
     return files.catalog_search(files.catalog(spark, sf), "source", " Event_TYPE").select("name", "rows")
 
 
+PROFILED = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id", "labels": "doc_id",
+            "conversations": "conv_id"}
+
+
+def profile_store(spark, sf):
+    """A store that takes half of the tables in a first run and the others in a second one."""
+    store, tables = new_folder(spark, "profile"), {t: f"{sf}/{t}.parquet" for t in PROFILED}
+    for run in (list(tables)[:3], list(tables)):
+        dataset_profile.update(spark, store, {t: tables[t] for t in run}, 5, PROFILED)
+    return store, tables
+
+
+@query("dataset_profile", " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, name AS "column", rows, rows - n AS "nullCount", round(100 * (rows - n) / rows, 2) AS "nullPct"
+FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {t}) ON COLUMNS(*) INTO NAME name VALUE n), (SELECT count(*) AS rows FROM {t})"""
+    for t in PROFILED))
+def _(spark, sf):
+    return dataset_profile.profile(spark, *profile_store(spark, sf)).select("dataset", "column", "rows", "nullCount", "nullPct")
+
+
+@query("dataset_samples", " UNION ALL ".join(
+    f"""SELECT '{t}' AS dataset, row_number() OVER (ORDER BY place) AS n, key FROM (
+SELECT md5(CAST({k} AS VARCHAR)) AS place, CAST({k} AS VARCHAR) AS key FROM {t} ORDER BY place LIMIT 5)""" for t, k in PROFILED.items()))
+def _(spark, sf):
+    store, tables = profile_store(spark, sf)
+    found = dataset_profile.samples(spark, store, tables, 5)
+    key = F.coalesce(*[F.when(F.col("dataset") == t, F.get_json_object("row", f"$.{k}")) for t, k in PROFILED.items()])
+    return found.select("dataset", F.col("n").cast("long").alias("n"), key.alias("key"))
+
+
 @query("discovered_files")
 def _(spark, sf):
     return files.discover(spark, sf).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length")
@@ -176,6 +207,19 @@ def _(spark, sf):
     return streams.run_states(spark, sf)
 
 
+@query("stream_strict_states", """
+SELECT user_id, count(*) AS n, count(*) FILTER (hit) AS hits, bool_or(hit) FILTER (rd = 1) AS "lastHit",
+  CASE WHEN count(*) = 1 THEN CASE WHEN bool_or(hit) THEN 'NEW' ELSE 'UNKNOWN' END
+    WHEN bool_or(hit) FILTER (rd = 1) AND bool_or(NOT hit) FILTER (rd > 1) AND min(ts) FILTER (hit) < min(ts) FILTER (NOT hit) THEN 'REOPENED'
+    WHEN NOT bool_or(hit) FILTER (rd = 1) AND bool_or(hit) FILTER (rd > 1) THEN 'RESOLVED'
+    WHEN bool_and(hit) THEN 'PERSISTENT' ELSE 'UNKNOWN' END AS state
+FROM (SELECT *, coalesce(event_type <> 'error', false) AS hit,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rd FROM events) GROUP BY 1
+""")
+def _(spark, sf):
+    return quiet_keys.run_strict_states(spark, sf)
+
+
 @query("stream_dedup", "SELECT event_id, count(*) AS n FROM (SELECT DISTINCT event_id FROM events) GROUP BY 1")
 def _(spark, sf):
     return streams.run_dedup(spark, sf).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))

@@ -21,7 +21,8 @@ remediation_actions remediation_campaigns asset_posture risk_concentration compl
 history_states_strict context_violations null_profile uniqueness_checks content_checks key_comparison key_lookup
 findings_presented asset_dimensions assets_in_scope related_remediations risk_histogram digest_top_findings
 envelope_validity leaf_paths document_cves finding_details finding_occurrences primary_provider normalized_findings
-fixed_schema_table dataset_catalog stream_daily_counts stream_history_states stream_dedup""".split()
+fixed_schema_table dataset_catalog stream_daily_counts stream_history_states stream_strict_states
+stream_dedup dataset_profile dataset_samples""".split()
 NAMES = sorted(contract.oracle_sql()) if os.environ.get("PALISADE_ORACLE") == "all" else CHOSEN
 
 
