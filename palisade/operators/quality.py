@@ -28,11 +28,20 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 
 def context_violations(assets: DataFrame, findings: DataFrame, vulnerabilities: DataFrame, action_findings: DataFrame,
-                       components: DataFrame, sources: DataFrame, missing: DataFrame | None = None) -> DataFrame:
+                       components: DataFrame, sources: DataFrame, missing: DataFrame | None = None,
+                       versions: DataFrame | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Every broken rule of the report tables as (rule, entity, detail), without repetition.
 
-    ``missing`` turns on the strict mode: any missing field is then a violation of its asset.
+    ``missing`` turns on the strict mode: any missing field is then a violation of its asset. ``versions`` holds (assetId,
+    schemaVersion), one row per report. ``blocks`` holds (assetId, section), one row per block that a report has; an asset that lacks a
+    required block is reported for its missing blocks and for nothing else.
     """
+    if blocks is not None:
+        lacking = _missing_blocks(assets, blocks)
+        broken = lacking.select("assetId").distinct()
+        tables = [None if t is None else t.join(broken, "assetId", "left_anti")
+                  for t in (assets, findings, vulnerabilities, action_findings, components, sources, missing, versions)]
+        return _rule(lacking, "missing_block", F.col("assetId"), F.col("section")).unionByName(context_violations(*tables)).distinct()
     own_cves = findings.select("assetId", F.explode("cves").alias("cve")).distinct()
     scanners = findings.select("assetId", F.col("scanner").alias("name")).distinct()
     parts = [
@@ -53,11 +62,20 @@ def context_violations(assets: DataFrame, findings: DataFrame, vulnerabilities:
         _rule(scanners.join(sources.select("assetId", "name").distinct(), ["assetId", "name"], "left_anti"),
               "scanner_not_in_sources", F.col("name"), F.col("assetId")),
     ]
+    if versions is not None:
+        named = versions.where(F.coalesce("schemaVersion", F.lit("")) != "").select("assetId")
+        parts.append(_rule(assets.join(named, "assetId", "left_anti"), "missing_schema_version", F.col("assetId")))
     if missing is not None:
         parts.append(_rule(missing, "strict_missing_field", F.col("assetId"), F.col("missing")))
     return _all(parts).distinct()
 
 
+def _missing_blocks(assets: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(assetId, section) of every required block that an asset's report lacks."""
+    wanted = assets.select("assetId").distinct().withColumn("section", F.explode(F.array(*map(F.lit, fixed.REQUIRED_BLOCKS))))
+    return wanted.join(blocks.select("assetId", "section").distinct(), ["assetId", "section"], "left_anti")
+
+
 def missing_blocks(columns: list[str]) -> list[str]:
     """Required blocks that a document schema lacks."""
     return sorted(set(fixed.REQUIRED_BLOCKS) - set(columns))

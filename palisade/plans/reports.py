@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from palisade import fixed_values as fixed
 from palisade.functions import json_text
 from palisade.operators import dashboard, digest, documents, gold, quality, search, silver
 from palisade.operators import intelligence as intel
@@ -34,7 +35,39 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT 'asset_without_hostname', assetId, NULL FROM assets WHERE assetOsPrimary IS NULL
   UNION ALL SELECT 'strict_missing_field', assetId, 'asset.business.owner' FROM assets WHERE businessUnit IS NULL)""", cx=_CX, cf=_CF))
 def _(spark, sf):
-    # One fault is seeded for every rule; the clean tables are checked in the tests.
+    return quality.context_violations(*seeded_context(spark, sf))
+
+
+@query("context_violations_of_reports", sql("""
+SELECT DISTINCT * FROM (
+  SELECT 'missing_block' AS rule, assetId AS entity, 'validation' AS detail FROM assets WHERE assetId LIKE '%31'
+  UNION ALL SELECT 'missing_block', assetId, 'sources' FROM assets WHERE assetId LIKE '%31' OR assetId LIKE '%52'
+  UNION ALL SELECT rule, entity, detail FROM (
+    SELECT 'missing_schema_version' AS rule, assetId AS entity, NULL AS detail, assetId AS a FROM assets WHERE assetId LIKE '%4'
+    UNION ALL SELECT 'duplicate_finding', findingId, assetId, assetId FROM fx WHERE findingId LIKE '%5-1'
+    UNION ALL SELECT 'invalid_priority', findingId, 'P9', assetId FROM fx WHERE findingId LIKE '%7-1'
+    UNION ALL SELECT 'invalid_history_state', findingId, 'ODD', assetId FROM fx WHERE findingId LIKE '%8-2'
+    UNION ALL SELECT 'first_after_last', findingId, NULL, assetId FROM fx WHERE firstSeen > lastSeen
+    UNION ALL SELECT 'cve_not_consolidated', cve, assetId, assetId FROM (SELECT assetId, unnest(cves) AS cve FROM fx) WHERE cve LIKE '%7'
+    UNION ALL SELECT 'unknown_action_finding', findingId || '-x', assetId, assetId FROM fx WHERE findingId LIKE '%9-3'
+    UNION ALL SELECT 'duplicate_component', "componentId", assetId, assetId FROM cf GROUP BY 2, 3 HAVING count(*) > 1
+    UNION ALL SELECT 'scanner_not_in_sources', scanner, assetId, assetId FROM fx WHERE scanner = 'Microsoft Azure'
+    UNION ALL SELECT 'asset_without_hostname', assetId, NULL, assetId FROM assets WHERE assetOsPrimary IS NULL
+    UNION ALL SELECT 'strict_missing_field', assetId, 'asset.business.owner', assetId FROM assets WHERE businessUnit IS NULL
+  ) WHERE a NOT LIKE '%31' AND a NOT LIKE '%52')""", cx=_CX, cf=_CF))
+def _(spark, sf):
+    # Reports that lack a block or their version, and findings that stand in their report twice.
+    assets, found, *others = seeded_context(spark, sf)
+    twice = found.unionByName(found.where(c("findingId").endswith("5-1")))
+    versions = assets.select("assetId", F.when(~c("assetId").endswith("4"), "1.0").alias("schemaVersion"))
+    blocks = assets.select("assetId", F.explode(F.array(*map(F.lit, fixed.REQUIRED_BLOCKS))).alias("section")).where(
+        ~((c("section") == "validation") & c("assetId").endswith("31"))
+        & ~((c("section") == "sources") & c("assetId").rlike("(31|52)$")))
+    return quality.context_violations(assets, twice, *others, versions=versions, blocks=blocks)
+
+
+def seeded_context(spark, sf):
+    """The tables of the context rules with a fault seeded for each of them; the clean tables are checked in the tests."""
     found = findings(spark, sf)
     seeded = found.withColumns({
         "priority": F.when(c("findingId").endswith("7-1"), "P9").otherwise(c("priority")),
@@ -46,8 +79,7 @@ def _(spark, sf):
     own = lens(spark, sf, "assets")
     assets = own.withColumn("hostname", F.when(c("assetOsPrimary").isNotNull(), c("hostname")))
     missing = own.where("businessUnit IS NULL").select("assetId", F.lit("asset.business.owner").alias("missing"))
-    return quality.context_violations(
-        assets, seeded, known, refs, intel.component_findings(component_rows(spark, sf), found), names, missing)
+    return assets, seeded, known, refs, intel.component_findings(component_rows(spark, sf), found), names, missing
 
 
 @query("component_warnings", sql("""
