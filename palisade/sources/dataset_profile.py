@@ -22,9 +22,6 @@ SHARES = (0.0, 0.25, 0.5, 0.75, 1.0)
 VERSION = ("file", "size", "modified")
 #: Values followed for the frequent ones; a count is off by at most about 3.5 / TRACKED of the rows of a file.
 TRACKED = 1000
-COLUMNS = ("dataset string, file string, size long, modified timestamp, rows long, column string, nonNull long, distinct binary, "
-           "numbers binary")
-SAMPLES = "dataset string, file string, size long, modified timestamp, place string, row string"
 
 
 def _version() -> list[Column]:
@@ -35,7 +32,7 @@ def _version() -> list[Column]:
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """The data files of a dataset with size and time of change; their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
-    return files.select(*_version())
+    return files.select("path", *_version())
 
 
 def _text(name: str, kind: T.DataType) -> Column:
@@ -66,7 +63,7 @@ def sample_rows(df: DataFrame, dataset: str, size: int, key: str | None = None)
     place = F.md5(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))) if key else F.md5(row)
     rows = df.select(F.lit(dataset).alias("dataset"), *_version(), place.alias("place"), row.alias("row"))
     rank = F.row_number().over(Window.partitionBy(*VERSION).orderBy("place", "row"))
-    return rows.withColumn("_n", rank).where(F.col("_n") <= size).drop("_n")
+    return rows.withColumn("nth", rank).where(F.col("nth") <= size)
 
 
 def _known(spark: SparkSession, store: str) -> DataFrame:
@@ -87,7 +84,7 @@ def update(spark: SparkSession, store: str, datasets: dict[str, str], sample: in
     done = 0
     for name, path in datasets.items():
         known = _known(spark, store).where(F.col("dataset") == name)
-        new = [r["file"] for r in listing(spark, path).join(known, list(VERSION), "left_anti").select("file").collect()]
+        new = [r["path"] for r in listing(spark, path).join(known, list(VERSION), "left_anti").select("path").collect()]
         if not new:
             continue
         schema = spark.read.option("mergeSchema", True).parquet(path).schema
@@ -139,6 +136,6 @@ def high_null_columns(profiled: DataFrame, threshold: float = 0.8) -> DataFrame:
 def samples(spark: SparkSession, store: str, datasets: dict[str, str], size: int = 3) -> DataFrame:
     """(dataset, n, row): the sample rows of each dataset from those of its files, equal rows as often as they occur there."""
     stored = spark.read.parquet(f"{store}/samples")
-    newest = _current(spark, stored, datasets)
+    newest = _current(spark, stored, datasets).dropDuplicates(["dataset", *VERSION, "nth"])  # a run made up writes its samples again
     rank = F.row_number().over(Window.partitionBy("dataset").orderBy("place", "row", "file"))
     return newest.withColumn("n", rank).where(F.col("n") <= size).select("dataset", "n", "row")
