@@ -32,11 +32,12 @@ def remediation_findings(details: DataFrame, assets: DataFrame | None, cves: Dat
         F.col(name).desc_nulls_last() for name in details.columns if name not in (*KEYS, "extractedAt")
     ]
     newest = first_per_key(details, KEYS, order)
-    one_cve = cves.groupBy(*KEYS, "cve").agg(F.max("description").alias("cveDescription"))
-    one_path = paths.select(*KEYS, "pathType", "path").distinct()
-    one_version = versions.select(*KEYS, "component", "detectedVersion", "expectedVersion").distinct()
+    # Every child moves once, to its finding and asset.
+    one_cve = cves.repartition(*KEYS).groupBy(*KEYS, "cve").agg(F.max("description").alias("cveDescription"))
+    one_path = paths.select(*KEYS, "pathType", "path").repartition(*KEYS).distinct()
+    one_version = versions.select(*KEYS, "component", "detectedVersion", "expectedVersion").repartition(*KEYS).distinct()
     rows = (
-        hot_safe_join(newest, assets.select("assetId", "assetOsPrimary"), ["assetId"], "left")
+        hot_safe_join(newest, assets.select("assetId", "assetOsPrimary"), ["assetId"], "left", keys_from=details)
         .join(one_cve, KEYS, "left")
         .join(one_path, KEYS, "left")
         .join(one_version, KEYS, "left")
@@ -63,7 +64,10 @@ GROUP = ["remediation", "providerId", "findingName", "component", "expectedVersi
 def plan_summary(rows: DataFrame) -> DataFrame:
     """Spread, scores and exploitation per remediation, provider, name, component and target version."""
     key = composite_key(*[F.col(name) for name in GROUP])
-    return rows.groupBy(*GROUP).agg(
+    # The distinct ids of a plan row move with a digest of its texts, the texts themselves once per plan row and task.
+    digest = F.unhex(F.md5(F.to_json(F.struct(*GROUP))))
+    return rows.groupBy(digest.alias("_plan")).agg(
+        *[F.max(name).alias(name) for name in GROUP],
         F.count_distinct("assetId").alias("affectedAssets"),
         F.count_distinct("findingId").alias("affectedFindings"),
         F.count_distinct("cve").alias("distinctCves"),
