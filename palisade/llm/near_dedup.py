@@ -189,6 +189,20 @@ def _split(apart: DataFrame, label: DataFrame) -> DataFrame:
     return written(labelled.join(split, ["band", "key"], "left_semi"), "apart")
 
 
+def _met(small: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different components that share a group and may reach ``percent``, each once.
+
+    A pair meets in every band in which its registers agree and is made in the first of them. ``small``: (band, key, rep, comp, n,
+    bands) with all members of a group, of any group that holds several components.
+    """
+    x = small.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("bands").alias("ra"))
+    y = small.select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("bands").alias("rb"))
+    first = F.array_position(F.zip_with("ra", "rb", lambda p, q: p == q), True) == x["band"] + 1
+    likely = _likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), percent)
+    both = (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
+    return x.join(y, both & first & likely).select("a", "b")
+
+
 def _asked(asked: DataFrame, label: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) of documents a with a member b of the component that each is asked against, one for each block at most.
 
@@ -288,11 +302,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT) -
     sizes = label.groupBy("comp").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= LARGE)
     apart = written(_split(apart, label).join(sizes, "comp", "left").fillna(1, ["size"]).join(reps, "rep"), "apart")
     small, large = apart.where(F.col("size") < LARGE), apart.where(F.col("size") >= LARGE)
-    y = small.select("band", "key", F.col("rep").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("bands").alias("rb"))
-    x = small.select("band", "key", F.col("rep").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("bands").alias("ra"))
-    likely = _likely(F.col("ra"), F.col("rb"), F.col("na"), F.col("nb"), percent)
-    near = x.join(y, (x["band"] == y["band"]) & (x["key"] == y["key"]) & (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & likely)
-    near = written(near.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    near = _met(small, percent)
+    near = written(near.join(tried, ["a", "b"], "left_anti"), "pairs")
     whole = large.select("band", "key", F.col("comp").alias("whole"), F.col("size").alias("of")).distinct()
     lower = F.struct("size", "comp") < F.struct("of", "whole")
     asked = apart.join(whole, ["band", "key"]).where(lower).select(F.col("rep").alias("a"), F.col("whole").alias("comp")).distinct()
