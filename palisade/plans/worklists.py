@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from palisade.operators import remediation_plan, worklist
 from palisade.plans.lens import lens, oracle, read
 from palisade.plans.registry import query
-from palisade.session import written
+from palisade.session import side_by_side, written
 
 _WORK = """SELECT findingId, max(assetId) AS assetId, max(hostname) AS hostname, max(status) AS status,
   max(hyScoreV2) AS hyScoreV2, bool_or(coalesce(cisaKev, false)) AS cisaKev FROM search GROUP BY findingId"""
@@ -144,6 +144,7 @@ def _plan(body: str) -> str:
 
 
 def plan_rows(spark, sf):
+    side_by_side(spark)
     # Read by every child and several times by each: joined and written once.
     details = written(lens(spark, sf, "details"), "details")
     assets = lens(spark, sf, "assets")
